@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import fingerprints, licenses, mixing
+from . import fingerprints, licenses, mixing, pii
 
 
 def queries():
     return {
+        "op1_pii": pii.query,
         "op3_document_fingerprints": fingerprints.query,
         "op4_license_scans": licenses.query,
         "op10_mixing": mixing.query,
