@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprints, licenses, mixing, pii
+from . import bpe, fingerprints, licenses, mixing, pii
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
         "op1_pii": pii.query,
         "op3_document_fingerprints": fingerprints.query,
         "op4_license_scans": licenses.query,
+        "op9_bpe_encoding_and_decoding": bpe.query,
         "op10_mixing": mixing.query,
     }
 

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(module: str) -> None:
+    """Send a module's functions to Python workers by value, so that executors need not have the package."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A Parquet table of a data folder, by any path Spark can read."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
