@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, licenses, mixing, pii
+from . import bpe, fingerprints, language, licenses, mixing, pii, search, sharding, toxicity
 
 
 def queries():
     return {
         "op1_pii": pii.query,
+        "op2_sharding": sharding.query,
         "op3_document_fingerprints": fingerprints.query,
         "op4_license_scans": licenses.query,
+        "op5_exact_top_k_search": search.query,
+        "op6_language_id": language.query,
+        "op8_toxicity": toxicity.query,
         "op9_bpe_encoding_and_decoding": bpe.query,
         "op10_mixing": mixing.query,
     }
 
 
 def oracle_sql():
-    return {}
+    return {"op5_exact_top_k_search": search.ORACLE}
