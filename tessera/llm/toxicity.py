@@ -34,10 +34,10 @@ from .language import held_out, sample
 ship(__name__)
 
 BUCKETS, DIM = 1 << 16, 8
-WINDOW = 40
+WINDOW = 10
 MAX_TRAIN = 8_000
 STEPS, WARM = 90, 20
-RATE, DECAY = 0.05, 1e-5
+RATE, DECAY = 0.05, 1e-3
 THRESHOLD = 0.3
 CACHE = 500_000
 LONGEST = 40  # characters; of longer words the n-grams are taken from overlapping parts
