@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import lines
 from ..session import table
-from . import relational, scalars  # noqa: F401
+from . import relational, scalars, site  # noqa: F401
 from .catalog import ORACLES, QUERIES  # noqa: F401
 
 
