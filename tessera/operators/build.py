@@ -83,7 +83,7 @@ def localize(pages: DataFrame, base: str) -> DataFrame:
 def render_block(text: Column, tags: Column) -> Column:
     """A block's inner HTML from its text with numbered tags and the table of (open, close); unknown numbers vanish."""
     marks = T.all_matches(text, "<(?:/?)[0-9]+(?:/?)>")
-    gaps = F.transform(F.split(text, "</?[0-9]+/?>", -1), T.escape_html)
+    gaps = F.transform(F.split(text, "</?[0-9]+/?>", -1), lambda g: T.escape_html(g))
 
     def of(mark: Column) -> Column:
         pair = F.get(tags, F.regexp_extract(mark, "[0-9]+", 0).cast("int"))

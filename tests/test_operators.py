@@ -1,0 +1,236 @@
+"""Operators on small fixtures."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators import audit, build, gates, glossary, html, lines, locale_format, quality, review, translate
+from tessera.sources import site
+
+BASE = "https://site.example"
+
+
+def test_glossary(spark):
+    raw = site.glossary(spark, json.dumps([{"source": "Acme", "rule": "keep"}, {"source": "", "rule": "keep"}, {"source": "x", "rule": "odd"}, {"source": "y", "rule": "translate"}, 3]))
+    good, bad = glossary.validate(raw)
+    assert (good.count(), bad.count()) == (1, 4)
+    pairs = spark.createDataFrame([("Acme wins", "Acme gewinnt"), ("Acme wins", "Firma"), ("none", "keins")], "src string, dst string")
+    assert glossary.violations(pairs, good, "de").count() == 1
+    again = site.glossary(spark, json.dumps([{"source": "Acme", "rule": "keep"}]))
+    assert glossary.fingerprint(good).first() == glossary.fingerprint(again).first()
+    with pytest.raises(ValueError):
+        site.glossary(spark, "{}")
+
+
+@pytest.mark.parametrize(
+    ("text", "locale", "expected"),
+    [("1,234,567", "de", "1.234.567"), ("1,234,567", "en", "1,234,567"), ("1,234.50", "de", "1.234,50"), ("50 2026 7", "de", "50 2026 7"), ("$5", "fr", "5,00 $US"), ("$5", "en", "$5.00"),
+     ("$1,234.50", "de", "1.234,50 $"), ("$1,234.50", "es", "1234,50 US$"), ("12,345", "es", "12.345"), ("1,500 USD", "de", "1.500,00 $"), ("50%", "fr", "50 %"), ("50%", "en", "50%"), ("12.5%", "de", "12,5 %"),
+     ("20.5.1 1.2.3 v2.0 10:30 192.168.1.1 2026-08-29 +1-800-555-0199 1/2 10 MB", "de", None), ("<0>1,234</0><1/>", "de", "<0>1.234</0><1/>"), ("", "de", ""), (None, "de", None), ("1,234", "zz-unknown", "1,234")],
+)
+def test_format_text(spark, text, locale, expected):
+    rows = spark.createDataFrame([(text, locale)], "t string, l string")
+    got = locale_format.format_text(rows, "t", "l").first()["formatted"]["text"]
+    plain = None if got is None else got.replace(" ", " ").replace(" ", " ")
+    assert plain == (text if expected is None else expected)
+
+
+def test_money(spark):
+    rows = spark.createDataFrame([("from $9 to $99", "de")], "t string, l string")
+    money = locale_format.format_text(rows, "t", "l").first()["formatted"]["money"]
+    assert [(m["currency"], m["value"]) for m in money] == [("USD", 9.0), ("USD", 99.0)]
+    off = locale_format.format_text(rows, "t", "l", currency=False, numbers=False).first()["formatted"]
+    assert off["text"] == "from $9 to $99"
+
+
+PAGE = """<!DOCTYPE html><html lang="en" dir="ltr"><head><title>Hello there</title><meta name="description" content="About us all">
+<script type="application/ld+json">{"@type": "WebPage", "name": "Page name", "url": "x"}</script></head><body>
+<h1>Big <b>news</b> today</h1><p>One line<br>two lines <img src="a.png" alt="A picture"></p><div>Loose text <p>Inner block</p></div>
+<ul><li>First item<li>Second item</ul><p>Never <b>closed</p><p>After it</p><pre>code here</pre></body></html>"""
+
+
+def pages(spark, *sources):
+    return spark.createDataFrame(list(enumerate(sources)), "page long, html string")
+
+
+def test_extraction(spark):
+    got = {(r["kind"], r["text"]) for r in html.extract(pages(spark, PAGE)).collect()}
+    assert {("block", "Hello there"), ("attr:content", "About us all"), ("jsonld", "Page name"), ("block", "Big <0>news</0> today"), ("text", "Loose text"), ("block", "Inner block"), ("block", "First item"), ("block", "Second item"), ("block", "Never <0>closed</0>"), ("block", "After it")} <= got
+    assert ("block", "One line<0/>two lines <1/>") in got
+    assert not any("code here" in t for _, t in got)
+    strict = {r["text"] for r in html.extract(pages(spark, PAGE), mode="strict").collect()}
+    lost = {r["text"] for r in html.holes(pages(spark, PAGE)).collect()}
+    assert "First item" not in strict and {"First item", "closed", "After it"} <= lost
+
+
+def test_splice_is_identity(spark):
+    sources = pages(spark, PAGE, "<p>x", "", "<div>café \U0001f600 text</div>")
+    segments = html.extract(sources).select("page", "start", "stop", F.col("raw").alias("text"))
+    assert {r["page"]: r["html"] for r in build.splice(sources, segments).collect()} == {r["page"]: r["html"] for r in sources.collect()}
+    new = html.extract(sources).filter("text = 'Inner block'").select("page", "start", "stop", F.lit("Neu").alias("text"))
+    assert "<p>Neu</p>" in build.splice(sources, new).filter("page = 0").first()["html"]
+
+
+def test_render_block(spark):
+    row = spark.createDataFrame([("a & <0>b</0><1/><9/>", [("<b>", "</b>"), ("<br>", None)])], "t string, tags array<struct<open:string,close:string>>")
+    assert row.select(build.render_block(F.col("t"), F.col("tags")).alias("v")).first()["v"] == "a &amp; <b>b</b><br>"
+
+
+def good_page(lang, slug, dir_=""):
+    path = lambda code: f"{BASE}/{code + '/' if code else ''}{slug}"
+    own = path("" if lang == "en" else lang)
+    alts = "".join(f'<link rel="alternate" hreflang="{c}" href="{path("" if c in ("en", "x-default") else c)}">' for c in ("ar", "zh", "en", "x-default"))
+    return f'<html lang="{lang}"{dir_}><head><link rel="canonical" href="{own}">{alts}<meta property="og:url" content="{own}"><meta property="og:locale" content="{lang}"><script type="application/ld+json">{{"@graph": [{{"@type": "WebPage", "@id": "{own}#webpage", "url": "{own}", "inLanguage": "{lang}"}}]}}</script></head></html>'
+
+
+def audit_of(spark, rows):
+    p = spark.createDataFrame([(f"{lang}/{slug}", lang, slug, h) for lang, slug, h in rows], "page string, lang string, slug string, html string")
+    found = audit.page_findings(p, BASE, ["ar", "zh"]).unionByName(audit.jsonld_findings(p, BASE))
+    return {(r["check"], r["page"]) for r in found.collect()}
+
+
+def test_audit(spark):
+    clean = [(lang, "about", good_page(lang, "about", ' dir="rtl"' if lang == "ar" else "")) for lang in ("en", "ar", "zh")]
+    assert audit_of(spark, clean) == set()
+    defects = {
+        "canonical-missing": ('rel="canonical"', 'rel="other"'), "canonical-wrong": (f'canonical" href="{BASE}/ar', f'canonical" href="{BASE}/zh'), "canonical-protocol": ('canonical" href="https', 'canonical" href="http'),
+        "canonical-trailing-slash": ('about"><link rel="alternate" hreflang="ar"', 'about/"><link rel="alternate" hreflang="ar"'), "hreflang-count": ('rel="alternate" hreflang="zh"', 'rel="x" hreflang="zh"'),
+        "hreflang-duplicate": ('hreflang="zh"', 'hreflang="ar"'), "hreflang-unexpected-code": ('hreflang="zh"', 'hreflang="pl"'), "hreflang-missing-code": ('hreflang="zh"', 'hreflang="pl"'),
+        "hreflang-self-missing": ('hreflang="ar"', 'hreflang="pl"'), "hreflang-self-wrong": (f'hreflang="ar" href="{BASE}/ar', f'hreflang="ar" href="{BASE}/xx'),
+        "hreflang-canonical-mismatch": (f'canonical" href="{BASE}/ar', f'canonical" href="{BASE}/zh'), "hreflang-en-wrong": (f'hreflang="en" href="{BASE}', f'hreflang="en" href="{BASE}/q'),
+        "hreflang-xdefault-wrong": (f'hreflang="x-default" href="{BASE}', f'hreflang="x-default" href="{BASE}/q'), "hreflang-protocol": ('hreflang="zh" href="https', 'hreflang="zh" href="http'),
+        "hreflang-trailing-slash": ('about"><link rel="alternate" hreflang="en"', 'about/"><link rel="alternate" hreflang="en"'), "hreflang-target-wrong": (f'hreflang="zh" href="{BASE}/zh', f'hreflang="zh" href="{BASE}/ar'),
+        "og-url-wrong": ('og:url" content="https', 'og:url" content="http'), "og-locale-wrong": ('og:locale" content="ar', 'og:locale" content="zh'), "noindex": ("</head>", '<meta name="robots" content="NoIndex"></head>'),
+        "html-lang-wrong": ('<html lang="ar"', '<html lang="zh"'), "jsonld-invalid": ('{"@graph"', '{@graph"'), "jsonld-inlanguage": ('"inLanguage": "ar"', '"inLanguage": "zh"'),
+        "jsonld-webpage-id": ("#webpage", "#page"), "jsonld-webpage-url": ('"url": "https', '"url": "http'),
+    }
+    rows = []
+    for check, (old, new) in defects.items():
+        source = good_page("ar", "about")
+        assert old in source, check
+        rows.append((check, source.replace(old, new)))
+    p = spark.createDataFrame([(c, "ar", "about", h) for c, h in rows], "page string, lang string, slug string, html string")
+    found = {(r["check"], r["page"]) for r in audit.page_findings(p, BASE, ["ar", "zh"]).unionByName(audit.jsonld_findings(p, BASE)).collect()}
+    assert [c for c, _ in rows if (c, c) not in found] == []
+
+
+def test_sitemap(spark):
+    files = spark.createDataFrame([("sitemap.xml", f"<loc>{BASE}/s1.xml</loc><loc>{BASE}/s2.xml</loc>"), ("s1.xml", f"<loc>{BASE}/a</loc><loc>{BASE}/b/</loc><loc>http://site.example/c</loc>")], "file string, xml string")
+    built = spark.createDataFrame([(f"{BASE}/a",), (f"{BASE}/b",)], "url string")
+    checks = {r["check"] for r in audit.sitemap_findings(files, built, BASE).collect()}
+    assert checks == {"sitemap-child-missing", "sitemap-url-count", "sitemap-url-404", "sitemap-trailing-slash", "sitemap-protocol"}
+    assert {r["check"] for r in audit.sitemap_findings(files.filter("file = 'x'"), built, BASE).collect()} == {"sitemap-index-missing"}
+
+
+def test_gates(spark):
+    p = spark.createDataFrame([("ar", "about", good_page("ar", "about", ' dir="rtl"')), ("ar", "x", "<html lang='ar'>")], "lang string, slug string, html string")
+    assert {r["problem"] for r in gates.identity(p, BASE).filter("slug = 'about'").collect()} == set()
+    assert "dir" in {r["problem"] for r in gates.identity(p, BASE).filter("slug = 'x'").collect()}
+    leaks = spark.createDataFrame([("<p><0>x</0></p>",), ("<script>'<0>'</script>",)], "html string")
+    assert gates.placeholder_leaks(leaks).count() == 1
+
+
+def test_links(spark):
+    row = spark.createDataFrame([('<a href="/">h</a><a class="x" href="/about#t">a</a><a href="/images/x">i</a><a href="/f.pdf">p</a><a href="https://o.example/">o</a>',)], "h string")
+    got = row.select(build.prefix_links(F.col("h"), F.lit("es")).alias("v")).first()["v"]
+    assert got == '<a href="/es">h</a><a class="x" href="/es/about#t">a</a><a href="/images/x">i</a><a href="/f.pdf">p</a><a href="https://o.example/">o</a>'
+
+
+def test_review(spark):
+    rows = [("This sentence has quite a few different words inside it", "This sentence has quite a few different words inside it", "es"), ("Some long enough source sentence for the length test here", "x", "es"), ("fine words stay", "andere Wörter", "de"), ("a <0>b</0>", "c", "de")]
+    pairs = spark.createDataFrame(rows, "src string, dst string, locale string")
+    got = [set(r["reasons"]) for r in review.reasons(pairs).collect()]
+    assert got[0] >= {"untranslated", "high-overlap"} and got[1] == {"length-anomaly"} and got[2] == set() and got[3] == {"placeholder"}
+
+
+def test_score(spark):
+    schema = "lang string, words int, severity string"
+    cases = {"a": [(50, None), (50, None)], "b": [(100, "major")], "c": [(500, "major")], "d": [(100, "minor")], "e": [(100, "critical")], "f": [(0, None)]}
+    rows = spark.createDataFrame([(k, w, s) for k, v in cases.items() for w, s in v], schema)
+    got = {r["lang"]: r["mqm"] for r in quality.score(rows, "lang").collect()}
+    assert got == {"a": 100.0, "b": 95.0, "c": 99.0, "d": 99.0, "e": 90.0, "f": 100.0}
+
+
+@pytest.mark.parametrize(("size", "n"), [(10, 100), (300, 100), (1000, 50)])
+def test_sample(spark, size, n):
+    units = spark.range(size).select(F.left(F.sha1(F.col("id").cast("string")), F.lit(16)).alias("hash"), (size - F.col("id")).alias("count"))
+    draw = lambda seed: sorted(r["hash"] for r in quality.stratified_sample(units, n, seed).collect())
+    assert len(draw(1)) <= n if size > n else len(draw(1)) == size
+    assert draw(7) == draw(7)
+    assert size <= n or draw(7) != draw(42)
+
+
+class Flaky(translate.OfflineTranslator):
+    """Refuses batches over two items, drops a tag at first, and fails once."""
+
+    def __init__(self):
+        self.calls = 0
+
+    def request(self, items, lang, temperature=0.2, mode="schema", dropped=frozenset()):
+        self.calls += 1
+        if self.calls == 1:
+            return 503, None
+        if mode == "schema":
+            return 400, "json mode"
+        return super().request(items, lang, temperature, mode, dropped)
+
+    def parse(self, body):
+        got = super().parse(body)
+        return got | ({"text": "not json"} if len(body["rows"]) > 2 else {})
+
+    def unsupported_json_mode(self, status, body):
+        return body == "json mode"
+
+
+def test_call_model():
+    waits = []
+    got = translate.call_model(Flaky(), [{"id": i, "text": f"t{i}", "el": None} for i in range(5)], "xx", waits.append)
+    assert got.rows == {i: f"[xx] t{i}" for i in range(5)} and got.errors == {} and waits == [2.0]
+
+    class Down(translate.OfflineTranslator):
+        def request(self, *a, **k):
+            return 0, None
+
+    waits = []
+    got = translate.call_model(Down(), [{"id": 1, "text": "x", "el": None}], "xx", waits.append)
+    assert got.errors == {1: "status 0"} and waits == [2.0, 4.0, 8.0, 16.0, 30.0]
+
+
+def test_translate_and_memory(spark, tmp_path):
+    units = spark.createDataFrame([(f"{i:016x}", f"text {i} <0>x</0>", 1, None) for i in range(90)], "hash string, text string, count int, el string")
+    done = translate.translate(units, "de")
+    assert done.filter("problem IS NULL").count() == 90
+    site.write_memory(done.select("hash", "out", F.lit("de").alias("lang")), str(tmp_path / "tm"))
+    memory = site.read_memory(spark, str(tmp_path / "tm"))
+    assert translate.pending(units, memory).count() == 0
+    assert site.read_memory(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_sources(spark, tmp_path):
+    for name in ("index.html", "about/index.html", "de/index.html", "404.html", "a.txt"):
+        (tmp_path / "site" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "site" / name).write_text("<p>hi</p>")
+    tree = site.html_tree(spark, str(tmp_path / "site")).withColumn("slug", lines.page_key(F.col("path")))
+    assert {r["slug"] for r in site.page_list(tree, ["de"]).collect()} == {"index", "about"}
+    assert [r["slug"] for r in site.page_list_source(spark, "export const PAGES = ['', \"about\"];", "PAGES").collect()] == ["", "about"]
+    scraped = site.locales(spark, source="  { pathCode: 'ar', hreflang: 'ar', nativeLabel: 'A' },\n  { hreflang: 'pt-BR', pathCode: 'pt' },", rtl=("ar",))
+    assert {(r["hreflang"], r["path_code"], r["native_label"], r["rtl"]) for r in scraped.collect()} == {("ar", "ar", "A", True), ("pt-BR", "pt", "pt", False)}
+    assert "| de | 99.00 |" in site.scorecard([{"lang": "de", "mqm": 99.0, "words": 1, "penalty": 0, "worst": "1,2"}])
+
+
+def test_stream(spark, tmp_path):
+    from tessera.streaming import incremental
+
+    rows = spark.createDataFrame([("en", "Hello there"), ("en", "Hello there"), ("en", "Good day")], "lang string, text string")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema("lang string, text string").parquet(str(tmp_path / "in"))
+    for _ in range(2):
+        incremental.maintain(stream(), str(tmp_path / "tm"), str(tmp_path / "cp"), "de").awaitTermination()
+    assert site.read_memory(spark, str(tmp_path / "tm")).count() == 2
+
+
+def test_dedup_element(spark):
+    rows = spark.createDataFrame([(1, 0, "h", "x", "h1"), (2, 0, "h", "x", "p"), (1, 1, "g", "y", "p"), (3, 0, "g", "y", "p")], "doc_id long, seg int, hash string, text string, e string")
+    got = {r["hash"]: (r["count"], r["el"], r["sample"]) for r in lines.dedup(rows, F.lit("block"), F.col("e")).collect()}
+    assert got == {"h": (2, None, 1), "g": (2, "p", 1)}
