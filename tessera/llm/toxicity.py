@@ -12,15 +12,18 @@ Training takes a bounded sample of labelled rows (``MAX_TRAIN``, by a hash of th
 id, whole texts). Scoring is linear in the words, so a word's contribution is one
 number, kept in a bounded cache.
 
-Edge cases: null and empty texts get the score of the bias alone; without labelled
-rows of both labels every score is the share of label 1 (0 without any); repeated
+Edge cases: null and empty texts, and those of white space, get the share of label 1
+among the rows learned from, as there is nothing else to go by; without labelled
+rows of both labels every score is that share (0 without any); repeated
 rows each give a row; a document with several labels counts as its largest; other
 columns are kept by ``flag`` and ignored by ``score``.
 """
 
 from __future__ import annotations
 
+import pickle
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,13 +37,13 @@ from .language import held_out, sample
 ship(__name__)
 
 BUCKETS, DIM = 1 << 16, 8
+MASK = BUCKETS - 1
 WINDOW = 10
-MAX_TRAIN = 8_000
+MAX_TRAIN = 6_000
 STEPS, WARM = 90, 20
-RATE, DECAY = 0.05, 1e-3
+RATE, DECAY = 0.05, 3e-4
 THRESHOLD = 0.3
-CACHE = 500_000
-LONGEST = 40  # characters; of longer words the n-grams are taken from overlapping parts
+CACHE = 300_000
 STRIP = ".,;:!?\"'()[]{}<>«»“”‘’*_-#&%$"
 
 
@@ -50,10 +53,16 @@ def words(text: str) -> list[str]:
 
 def subwords(word: str) -> list[int]:
     """Buckets of a word's n-grams of 3 to 5 characters, marked at its ends, and of itself."""
-    word = word.strip(STRIP)
-    marked = f"<{word}>"
-    grams = {marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)}
-    return [zlib.crc32(g.encode("utf-8", "replace")) & (BUCKETS - 1) for g in sorted(grams)] + [zlib.crc32(b"=" + word.encode("utf-8", "replace")) & (BUCKETS - 1)]
+    marked, crc = f"<{word}>", zlib.crc32
+    size = len(marked)
+    if marked.isascii():  # then bytes are characters
+        coded = marked.encode()
+        grams = {coded[i : i + n]: None for n in (3, 4, 5) for i in range(size - n + 1)}
+    else:
+        grams = {marked[i : i + n].encode("utf-8", "replace"): None for n in (3, 4, 5) for i in range(size - n + 1)}
+    out = [crc(g) & MASK for g in grams]
+    out.append(crc(b"=" + word.encode("utf-8", "replace")) & MASK)
+    return out
 
 
 def segment_mean(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -71,16 +80,20 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
         for at in range(0, len(mine), WINDOW):
             window_size.append(len(mine[at : at + WINDOW]))
             window_doc.append(d)
-        tokens.append(np.array(mine, np.int64))
+        tokens.append(np.array(mine, np.int32))
     tokens = np.concatenate(tokens)
     size, doc = np.array(window_size), np.array(window_doc)
     start = np.concatenate([[0], np.cumsum(size)[:-1]])
-    grams = [subwords(w) for w in vocabulary]
-    g_size = np.array([len(g) for g in grams])
-    gram = np.fromiter((i for g in grams for i in g), np.int64, int(g_size.sum()))
+    flat, sizes = array("i"), array("i")  # compact: the sample's vocabulary may have half a million words
+    for w in vocabulary:
+        before = len(flat)
+        flat.extend(subwords(w.strip(STRIP)))
+        sizes.append(len(flat) - before)
+    del vocabulary
+    gram, g_size = np.frombuffer(flat, np.int32), np.frombuffer(sizes, np.int32)
     g_start = np.concatenate([[0], np.cumsum(g_size)[:-1]])
-    g_word = np.repeat(np.arange(len(grams)), g_size)
-    token_window = np.repeat(np.arange(len(size)), size)
+    g_word = np.repeat(np.arange(len(g_size), dtype=np.int32), g_size)
+    token_window = np.repeat(np.arange(len(size), dtype=np.int32), size)
     first = np.searchsorted(doc, np.arange(len(texts)))
     count = np.bincount(doc, minlength=len(texts))
     full = count > 0  # documents with words
@@ -92,7 +105,7 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (e, v, b)]
 
     def forward():
-        p = e @ v
+        p = (e @ v).astype(np.float32)
         s = segment_mean(p[gram], g_start, g_size)
         return segment_mean(s[tokens], start, size) * WINDOW + b[0]
 
@@ -116,8 +129,8 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
         error = (1 / (1 + np.exp(-np.clip(out, -40, 40))) - labels) * weight
         dz = error[doc] * share
         db = np.array([dz.sum()])
-        ds = np.bincount(tokens, weights=(dz * WINDOW / size)[token_window], minlength=len(grams))
-        dp = np.bincount(gram, weights=(ds / g_size)[g_word], minlength=BUCKETS)
+        ds = np.bincount(tokens, weights=(dz * WINDOW / size).astype(np.float32)[token_window], minlength=len(g_size))
+        dp = np.bincount(gram, weights=(ds / g_size).astype(np.float32)[g_word], minlength=BUCKETS)
         gradients = (np.outer(dp, v) + DECAY * e, e.T @ dp + DECAY * v, db)
         for x, g, moments in zip((e, v, b), gradients, state, strict=True):
             moments[0] *= 0.9
@@ -132,52 +145,66 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
         q = 1 / (1 + np.exp(-np.clip(slope * z[tune] + offset, -40, 40)))
         slope -= 0.05 * (((q - labels[tune]) * z[tune]).mean() + 0.001 * (slope - 1))
         offset -= 0.2 * (q - labels[tune]).mean()
-    return {"p": (e @ v).astype(np.float64), "b": float(b[0]), "slope": float(slope), "offset": float(offset)}
+    return {"p": (e @ v).astype(np.float64), "b": float(b[0]), "slope": float(slope), "offset": float(offset), "share": float(labels.mean())}
 
 
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", most: int = MAX_TRAIN) -> dict:
     """Fit on a bounded sample of the labelled rows open to training."""
     known = labels.groupBy(id_col).agg(F.max(label).alias("y"))
     chosen = sample(known, id_col, "y", most)
-    rows = chosen.join(df.select(id_col, F.col(text).alias("t")), id_col).select(id_col, "t", "y").toPandas().sort_values([id_col, "t"])
-    return fit([t or "" for t in rows["t"]], rows["y"].to_numpy(dtype=np.float64))
+    rows = chosen.join(df.select(id_col, F.col(text).alias("t")), id_col).select(F.col(id_col).alias("id"), "t", "y")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = pd.concat([pd.DataFrame({"id": [], "t": [], "y": []}), *batches]).sort_values(["id", "t"])
+        yield pd.DataFrame({"model": [pickle.dumps(fit([t or "" for t in got["t"]], got["y"].to_numpy(dtype=np.float64)))]})
+
+    # The sample is bounded, so one task of an executor fits the model; the driver gets the weights only.
+    got = rows.repartition(1).mapInPandas(run, "model binary").first()
+    return pickle.loads(got["model"]) if got else fit([], np.zeros(0))
 
 
 class Scorer:
-    """Scores whole texts with a fitted model; one per task."""
+    """Scores whole texts with a fitted model; one per worker, with bounded caches of tokens and words."""
 
     def __init__(self, model: dict):
-        self.model, self.cache = model, {}
-
-    def word(self, word: str) -> float:
-        p = self.model["p"]
-        got = float(np.mean([p[i] for i in subwords(word)]))
+        self.model, self.cache, self.known = model, {}, {}
+        self.p = None if model["p"] is None else model["p"].tolist()
+
+    def word(self, token: str) -> float:
+        """The score of a token: that of its word without punctuation at the ends."""
+        word = token.strip(STRIP)
+        got = self.known.get(word)
+        if got is None:
+            p, grams = self.p, subwords(word)
+            got = sum([p[i] for i in grams]) / len(grams)
+            if len(self.known) >= CACHE:
+                self.known.clear()
+            self.known[word] = got
         if len(self.cache) >= CACHE:
             self.cache.clear()
-        self.cache[word] = got
+        self.cache[token] = got
         return got
 
     def score(self, text: str) -> float:
-        if self.model["p"] is None:
+        if self.model["p"] is None or not (mine := words(text)):
             return self.model["share"]
-        z = self.model["b"]
-        if mine := words(text):
-            get = self.cache.get
-            s = np.array([x if (x := get(w)) is not None else self.word(w) for w in mine])
-            starts = np.arange(0, len(s), WINDOW)
-            sizes = np.minimum(WINDOW, len(s) - starts)
-            z += float((np.add.reduceat(s, starts) / sizes).max()) * WINDOW
+        get = self.cache.get
+        s = np.array([get(w) or self.word(w) for w in mine])
+        starts = np.arange(0, len(s), WINDOW)
+        sizes = np.minimum(WINDOW, len(s) - starts)
+        z = self.model["b"] + float((np.add.reduceat(s, starts) / sizes).max()) * WINDOW
         return float(1 / (1 + np.exp(-np.clip(self.model["slope"] * z + self.model["offset"], -40, 40))))
 
 
 def score(df: DataFrame, model: dict, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Add ``toxicity`` to the given columns."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast({"model": model})
     kept = [c for c in df.columns if c != "toxicity"]
     schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + ["toxicity double"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(shared.value)
+        state = shared.value  # the worker's own copy, which outlives the task: the caches stay with it
+        scorer = state.get("scorer") or state.setdefault("scorer", Scorer(state["model"]))
         for batch in batches:
             yield batch.assign(toxicity=[scorer.score(t or "") for t in batch[text]])
 
