@@ -9,8 +9,8 @@ it into memory. Words outside it are merged exactly, pair by pair in rank order.
 
 Encoding follows the tokenizer file: special tokens are cut out of the raw text,
 the rest is NFC-normalised, lower-cased character by character and split into
-words by the file's pattern; no word spans white space, so results are kept per
-white-space-free chunk in a bounded per-task cache.
+words by the file's pattern; results are kept per word in a bounded cache of the
+worker. For the lexicon, white-space-free chunks are counted and then split into words.
 
 Edge cases: null text counts as empty (no ids, empty decoded text); very long
 words are merged with a heap in O(n log n); repeated rows each give a row; other
@@ -24,6 +24,7 @@ import heapq
 import json
 import mmap
 import re
+import struct
 import tempfile
 import unicodedata
 from collections import Counter
@@ -34,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import Scratch, ship
 
 ship(__name__)
 
@@ -42,6 +43,9 @@ LEXICON = 1 << 16
 LONGEST = 48  # characters of a chunk that is counted for the lexicon; longer ones are encoded all the same
 CACHE = 400_000
 FLUSH = 200_000
+SHORT = 24  # symbols of a word that is merged by scanning
+NONE = 1 << 40  # the rank of a pair that is never merged
+BYTE = [bytes([b]) for b in range(256)]
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _white = re.compile(f"[{WHITE}]+")
 _not_white = re.compile("[\x1c-\x1f]")
@@ -71,10 +75,14 @@ class Merger:
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.vocab | self.special).items()}
         self.bytes = byte_chars()
-        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
+        self.first = [self.vocab[c] for c in self.bytes]
+        self.last = [self.vocab[c + self.suffix] for c in self.bytes]
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.ranks[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
+            self.ranks[self.vocab[a], self.vocab[b]] = rank
+            self.made.append(self.vocab[a + b])
         import regex
 
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -83,35 +91,46 @@ class Merger:
 
     def merge(self, word: str) -> list[int]:
         """Ids of a word: repeatedly join the pair of lowest rank, leftmost first."""
-        symbols = [self.bytes[b] for b in word.encode()]
-        ids = [self.vocab[c] for c in symbols[:-1]] + [self.vocab[symbols[-1] + self.suffix]]
+        coded, first, get = word.encode(), self.first, self.ranks.get
+        ids = [first[b] for b in coded]
+        ids[-1] = self.last[coded[-1]]
         n = len(ids)
+        ranks = [get(pair, NONE) for pair in zip(ids, ids[1:], strict=False)]
+        if n <= SHORT:  # a scan for the lowest rank is quicker than a heap
+            while ranks and (best := min(ranks)) != NONE:
+                i = ranks.index(best)
+                ids[i : i + 2] = [self.made[best]]
+                del ranks[i]
+                if i:
+                    ranks[i - 1] = get((ids[i - 1], ids[i]), NONE)
+                if i < len(ranks):
+                    ranks[i] = get((ids[i], ids[i + 1]), NONE)
+            return ids
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(*found, i) for i in range(n - 1) if (found := self.ranks.get((ids[i], ids[i + 1])))]
-        heap = [(rank, i, new) for rank, new, i in heap]
+        heap = [(rank, i) for i, rank in enumerate(ranks) if rank != NONE]
         heapq.heapify(heap)
         while heap:
-            rank, i, new = heapq.heappop(heap)
+            rank, i = heapq.heappop(heap)
             j = after[i]
-            if ids[i] < 0 or j < 0 or self.ranks.get((ids[i], ids[j])) != (rank, new):
+            if ids[i] < 0 or j < 0 or get((ids[i], ids[j])) != rank:
                 continue  # one of the two was merged meanwhile
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = self.made[rank], -1
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if found := self.ranks.get((new, ids[k])):
-                    heapq.heappush(heap, (found[0], i, found[1]))
-            if (h := before[i]) >= 0 and (found := self.ranks.get((ids[h], new))):
-                heapq.heappush(heap, (found[0], h, found[1]))
+                if (found := get((ids[i], ids[k]), NONE)) != NONE:
+                    heapq.heappush(heap, (found, i))
+            if (h := before[i]) >= 0 and (found := get((ids[h], ids[i]), NONE)) != NONE:
+                heapq.heappush(heap, (found, h))
         return [i for i in ids if i >= 0]
 
-    def words(self, chunk: str) -> list[str]:
-        """Words of a raw chunk without white space and special tokens."""
-        if not chunk.isascii():
-            chunk = unicodedata.normalize("NFC", chunk)
+    def words(self, text: str) -> list[str]:
+        """Words of a raw text without special tokens; no word holds white space."""
+        if not text.isascii() and not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
         # Character by character: a final sigma is no exception here.
-        chunk = "".join(map(str.lower, chunk)) if "Σ" in chunk else chunk.lower()
-        return self.pattern.findall(chunk)
+        text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
+        return self.pattern.findall(text)
 
 
 def chunks(text: str) -> list[str]:
@@ -179,10 +198,10 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
         first.append(len(labels))
     ids = [words[w] for w in ordered]
     parts = [
-        np.array(first, "<u4"), np.array(labels, "<u4"), np.array(targets, "<u4"), np.array(skips, "<u4"), np.array([final[s] for s in order], "<u4"),
+        np.array(first, "<u4"), np.array(targets, "<u4"), np.array(skips, "<u4"), np.array([final[s] for s in order], "<u4"),
         np.cumsum([0, *map(len, ids)]).astype("<u4"), np.array([i for x in ids for i in x], "<u4"),
     ]
-    return np.array([len(p) for p in parts], "<u4").tobytes() + b"".join(p.tobytes() for p in parts)
+    return np.array([*map(len, parts), len(labels)], "<u4").tobytes() + b"".join(p.tobytes() for p in parts) + bytes(labels)
 
 
 class Lexicon:
@@ -193,61 +212,57 @@ class Lexicon:
             f.write(image)
             f.flush()
             self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-        sizes = np.frombuffer(self.map, "<u4", 7)
-        at, self.parts = 28, []
+        *sizes, labels = np.frombuffer(self.map, "<u4", 7).tolist()
+        at, parts = 28, []
         for size in sizes:
-            self.parts.append(memoryview(np.frombuffer(self.map, "<u4", size, at)))
-            at += 4 * int(size)
-        self.first, self.labels, self.targets, self.skips, self.final, self.offsets, self.ids = self.parts
+            parts.append(memoryview(np.frombuffer(self.map, "<u4", size, at)))
+            at += 4 * size
+        self.first, self.targets, self.skips, self.final, self.offsets, self.ids = parts
+        self.labels = at  # one byte per transition, to the end
 
     def find(self, word: bytes) -> list[int] | None:
         """The word's ids, or None where the lexicon lacks it."""
-        state, ordinal = 0, 0
+        state, ordinal, seek, labels, first = 0, 0, self.map.find, self.labels, self.first
         for label in word:
-            for e in range(self.first[state], self.first[state + 1]):
-                if self.labels[e] == label:
-                    ordinal += self.skips[e]
-                    state = self.targets[e]
-                    break
-            else:
+            e = seek(BYTE[label], labels + first[state], labels + first[state + 1]) - labels
+            if e < 0:
                 return None
+            ordinal += self.skips[e]
+            state = self.targets[e]
         if not self.final[state]:
             return None
-        return list(self.ids[self.offsets[ordinal] : self.offsets[ordinal + 1]])
+        return self.ids[self.offsets[ordinal] : self.offsets[ordinal + 1]].tolist()
 
 
 class Codec:
-    """Encodes and decodes whole texts; one per task."""
+    """Encodes and decodes whole texts; one per worker, with a bounded cache of words."""
 
     def __init__(self, spec: dict, image: bytes):
         self.merger, self.lexicon = Merger(spec), Lexicon(image)
         self.cache: dict[str, tuple[bytes, str]] = {}
 
-    def word(self, word: str) -> list[int]:
-        found = self.lexicon.find(word.encode())
-        return self.merger.merge(word) if found is None else found
-
-    def chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Ids as little-endian bytes, and the decoded tokens."""
-        ids: list[int] = []
-        pieces = self.merger.cut_special.split(chunk) if self.merger.cut_special else [chunk]
-        for piece in pieces:
-            if piece in self.merger.special:
-                ids.append(self.merger.special[piece])
-            elif piece:
-                for word in self.merger.words(piece):
-                    ids += self.word(word)
-        out = (np.array(ids, "<u4").tobytes(), self.decode(ids))
+    def word(self, word: str) -> tuple[bytes, str]:
+        """Ids of a word as little-endian bytes, and its decoded tokens."""
+        ids = self.lexicon.find(word.encode())
+        if ids is None:
+            ids = self.merger.merge(word)
+        out = (struct.pack(f"<{len(ids)}I", *ids), self.decode(ids))
         if len(self.cache) >= CACHE:
             self.cache.clear()
-        if len(chunk) <= LONGEST:
-            self.cache[chunk] = out
+        if len(word) <= LONGEST:
+            self.cache[word] = out
         return out
 
     def encode(self, text: str) -> list[tuple[bytes, str]]:
+        """Each word's ids and decoded tokens, and those of special tokens in their places."""
         get, out = self.cache.get, []
-        for chunk in chunks(text):
-            out.append(get(chunk) or self.chunk(chunk))
+        special = self.merger.special
+        pieces = self.merger.cut_special.split(text) if self.merger.cut_special and "<" in text else [text]
+        for piece in pieces:
+            if piece in special:
+                out.append((np.array([special[piece]], "<u4").tobytes(), piece))
+            elif piece:
+                out += [get(w) or self.word(w) for w in self.merger.words(piece)]
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -255,8 +270,12 @@ class Codec:
         return " ".join([self.merger.tokens[i] for i in ids])
 
 
-def frequent(df: DataFrame, text: str = "text", top: int = 2 * LEXICON) -> list[tuple[str, int]]:
-    """The most frequent chunks of all texts with their counts; ties by the chunk. At most ``top`` reach the driver."""
+def frequent(df: DataFrame, text: str = "text", top: int = LEXICON) -> list[tuple[str, int]]:
+    """The most frequent chunks of all texts with their counts, at most ``top``.
+
+    The histogram of counts gives the least count at which at most ``top`` chunks are
+    left; only those reach the driver.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
@@ -270,7 +289,17 @@ def frequent(df: DataFrame, text: str = "text", top: int = 2 * LEXICON) -> list[
         yield pd.DataFrame({"chunk": list(seen), "n": list(seen.values())}).astype({"chunk": object, "n": "int64"})
 
     counted = df.select(F.col(text).alias("t")).mapInPandas(count, "chunk string, n long").filter(F.length("chunk") <= LONGEST)
-    return [(r["chunk"], r["n"]) for r in counted.groupBy("chunk").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "chunk").limit(top).collect()]
+    scratch = Scratch(df.sparkSession, "lexicon")
+    table = scratch.put(counted.groupBy("chunk").agg(F.sum("n").alias("n")))
+    capped = F.least(F.col("n"), F.lit(1 << 16))
+    left, least = top, (1 << 16) + 1
+    for r in sorted(table.groupBy(capped.alias("m")).agg(F.count(F.lit(1)).alias("c")).collect(), key=lambda r: -r["m"]):
+        if r["c"] > left:
+            break
+        left, least = left - r["c"], r["m"]
+    out = [(r["chunk"], r["n"]) for r in table.filter(capped >= least).collect()]
+    scratch.drop(table)
+    return sorted(out, key=lambda r: (-r[1], r[0]))
 
 
 def build(df: DataFrame, text: str = "text", path: str | None = None, size: int = LEXICON) -> tuple[dict, bytes]:
@@ -291,13 +320,14 @@ def build(df: DataFrame, text: str = "text", path: str | None = None, size: int
 def encode(df: DataFrame, text: str = "text", path: str | None = None, ids: bool = True) -> DataFrame:
     """Add n_tokens, ids_sha256 and decoded_sha256; with ``ids`` also token_ids."""
     spec, image = build(df, text, path)
-    shared = df.sparkSession.sparkContext.broadcast((spec, image))
+    shared = df.sparkSession.sparkContext.broadcast({"spec": spec, "image": image})
     added = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"} | ({"token_ids": "array<long>"} if ids else {})
     kept = [c for c in df.columns if c not in added]
     schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + [f"{c} {t}" for c, t in added.items()])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = Codec(*shared.value)
+        state = shared.value  # the worker's own copy, which outlives the task: the codec and its cache stay with it
+        codec = state.get("codec") or state.setdefault("codec", Codec(state["spec"], state["image"]))
         for batch in batches:
             rows: list[tuple] = []
             for value in batch[text]:
