@@ -258,3 +258,31 @@ GROUP_DE = "replace(replace(replace(format('{:,.2f}', o_totalprice), ',', '#'),
 def format_text_de(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("$"), F.format_number("o_totalprice", 2)).alias("text"), F.lit("de").alias("locale"))
     return locale_format.format_text(rows, "text", "locale").select("o_orderkey", "formatted.text")
+
+
+# --- alternates: the pages' navigation links stand in for hreflang tags ------------------------------
+
+ALTERNATE = '<link rel="alternate" hreflang="{0}" href="https://site.example/{0}">'
+ALTS = f"""WITH {S.PAGES}, c AS (SELECT CAST(page_id AS VARCHAR) AS page, slug, regexp_extract_all(html, '<a href="/([A-Za-z]+)">', 1) AS codes FROM site), u AS (SELECT page, slug, unnest(codes) AS code FROM c)"""
+
+
+def with_alternates(spark, sf):
+    html_ = F.regexp_replace("html", '<a href="/([A-Za-z]+)">', ALTERNATE.format("$1"))
+    return audit.page_findings(audited(spark, sf).withColumn("html", html_), BASE, LOCALES)
+
+
+@query("hreflang_diff", f"""{ALTS} SELECT DISTINCT page, 'hreflang-unexpected-code' AS "check", code AS detail FROM u WHERE code NOT IN (SELECT unnest({CODES}))
+    UNION ALL SELECT page, 'hreflang-missing-code', e FROM c, (SELECT unnest({CODES}) AS e) WHERE NOT list_contains(codes, e)""")
+def hreflang_diff(spark, sf):
+    return with_alternates(spark, sf).filter(F.col("check").isin("hreflang-unexpected-code", "hreflang-missing-code"))
+
+
+@query("hreflang_dupes", f"""{ALTS}, d AS (SELECT page, code FROM u GROUP BY page, code HAVING count(*) > 1) SELECT page, array_to_string(list_sort(list(code)), ',') AS codes FROM d GROUP BY page""")
+def hreflang_dupes(spark, sf):
+    found = with_alternates(spark, sf).filter(F.col("check") == "hreflang-duplicate")
+    return found.select("page", F.array_join(F.array_sort(F.split("detail", ",")), ",").alias("codes"))
+
+
+@query("hreflang_target", f"""{ALTS} SELECT DISTINCT page, code || '=https://site.example/' || code AS detail FROM u WHERE code IN ('de', 'es', 'fr') AND slug <> 'index'""")
+def hreflang_target(spark, sf):
+    return with_alternates(spark, sf).filter(F.col("check") == "hreflang-target-wrong").select("page", "detail")
