@@ -4,14 +4,18 @@
    sets (by a 128-bit digest) form one class, represented by the smallest id.
 2. Every class gets ``BANDS * ROWS`` universal hash minima; classes that share all
    minima of a band fall into one bucket.
-3. In each bucket every member is paired with the bucket's smallest id (one pair a
-   member, however large the bucket). Pairs pass a size test and a signature
-   estimate, then are confirmed on full shingle sets.
-4. Links become components by alternating large-star and small-star.
-5. Buckets that still hold several components are completed: their members of
-   different components are paired, tested the same way, and the components are
-   found again. So no pair of a bucket goes untested unless it is already
-   connected, and no bucket is capped.
+3. Each bucket has a hub, its member with the most bucket mates overall (in a family of
+   edited copies that is the text they were made from). Every other member is paired
+   with it: one pair a member, however large the bucket. Signatures are compared,
+   then full shingle sets; linked members are connected through the hub.
+4. Pairs of a bucket that the hub does not connect are found by what differs from it.
+   Let D(x) be the symmetric difference of x and the hub h. Since |x - y| (symmetric) is
+   |D(x)| + |D(y)| - 2 |D(x) & D(y)|, a link of x and y fixes how many elements D(x) and
+   D(y) must share: at least one wherever y is not linked to h. So differences are joined
+   on their first elements (prefix filter, additions before removals, with the
+   positional bound in the join), and the pairs found are checked on whole differences.
+   No pair of a bucket is skipped and no bucket is capped.
+5. Links become components by alternating large-star and small-star.
 
 With 32 bands of 5 rows a pair at the threshold of 0.8 misses every bucket with
 probability 3e-6.
@@ -125,43 +129,68 @@ def signatures(df: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, n long, d1 long, d2 long, bands array<long>, sig binary")
 
 
-def likely(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sizes and signature estimate allow the threshold."""
+def far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether signatures (rows of bytes) put a pair clearly below the threshold."""
     share = SHARE[0] / SHARE[1]
     least = share - DEVIATIONS * (share * (1 - share) / HASHES) ** 0.5
+    return ((x == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256) < least
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                x, y = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(len(batch), HASHES) for c in ("sa", "sb"))
-                same = (x == y).mean(axis=1)
-                batch = batch[(same - 1 / 256) / (1 - 1 / 256) >= least]
-            yield batch[["a", "b"]]
 
-    one = sigs.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
-    two = sigs.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
-    sized = pairs.join(one, "a").join(two, "b").filter(F.least("na", "nb") * SHARE[1] >= F.greatest("na", "nb") * SHARE[0])
-    return sized.select("a", "b", "sa", "sb").mapInPandas(run, "a long, b long")
+def prefix_size(linked: bool, d: int, n: int, hub: int) -> int:
+    """How many of a difference's first elements any partner that is to be found must share one of.
+
+    A linked member's partner is unlinked; with c = (1 - s) / (1 + s), a pair is linked where
+    |x - y| <= c (|x| + |y|), and for an unlinked y, |D(y)| > c (|h| + |y|).
+    """
+    c = (SHARE[1] - SHARE[0]) / (SHARE[1] + SHARE[0])
+    shared = (d - c * (n - hub)) / 2 if linked else (d - c * (hub + n)) / 2
+    return d - max(1, int(np.ceil(shared - 1e-9))) + 1
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """Pairs whose full shingle sets reach the threshold."""
+def against_hubs(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(hub, id, n, nh, linked, diff, first) of pairs (hub, id): signature, then full sets; differences, additions first."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, held = Shingler(k), (None, None)
         for batch in batches:
-            keep = []
-            for a, x, y in zip(batch["a"], batch["ta"], batch["tb"], strict=True):
-                if held[0] != a:
-                    held = (a, shingle(x))
-                s, t = held[1], shingle(y)
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                keep.append(SHARE[1] * both >= SHARE[0] * (len(s) + len(t) - both))
-            yield batch.loc[keep, ["a", "b"]]
-
-    one = texts.select(F.col("id").alias("a"), F.col("t").alias("ta"))
-    two = texts.select(F.col("id").alias("b"), F.col("t").alias("tb"))
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
+            rows = []
+            if len(batch):
+                x, y = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(len(batch), HASHES) for c in ("hs", "s"))
+                away = far(x, y)
+                for i, (hub, other, ht, t) in enumerate(zip(batch["hub"], batch["id"], batch["ht"], batch["t"], strict=True)):
+                    if held[0] != hub:
+                        held = (hub, shingle(ht))
+                    h, z = held[1], shingle(t)
+                    added, removed = np.setdiff1d(z, h, assume_unique=True), np.setdiff1d(h, z, assume_unique=True)
+                    both = len(z) - len(added)
+                    linked = not away[i] and SHARE[1] * both >= SHARE[0] * (len(h) + len(added))
+                    diff = np.concatenate([added, removed]).view(np.int64)
+                    rows.append((hub, other, len(z), len(h), linked, diff, prefix_size(linked, len(diff), len(z), len(h))))
+            yield pd.DataFrame(rows, columns=["hub", "id", "n", "nh", "linked", "diff", "first"])
+
+    hubs = texts.join(sigs.select("id", "sig"), "id").select(F.col("id").alias("hub"), F.col("t").alias("ht"), F.col("sig").alias("hs"))
+    rest = texts.join(sigs.select("id", "sig"), "id").select("id", "t", F.col("sig").alias("s"))
+    return pairs.join(rest, "id").join(hubs, "hub").select("hub", "id", "ht", "t", "hs", "s").mapInPandas(run, "hub long, id long, n long, nh long, linked boolean, diff array<long>, first int")
+
+
+def between_members(tested: DataFrame) -> DataFrame:
+    """Links (a, b) of members of a hub that the hub does not connect."""
+    c = (SHARE[1] - SHARE[0]) / (SHARE[1] + SHARE[0])
+    open_hubs = tested.filter("NOT linked").select("hub").distinct()
+    rows = tested.join(open_hubs, "hub", "left_semi")
+    flat = rows.select("hub", "id", "n", "linked", F.size("diff").alias("d"), F.posexplode(F.slice("diff", 1, F.greatest("first", F.lit(1)))).alias("at", "e"))
+    y = flat.filter("NOT linked").select("hub", "e", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("d").alias("db"), F.col("at").alias("ab"))
+    x = flat.select("hub", "e", F.col("id").alias("a"), F.col("n").alias("na"), F.col("d").alias("da"), F.col("at").alias("aa"), F.col("linked").alias("la"))
+    # Of two unlinked members only one order is needed; sharing an element at these positions, they can share so many more.
+    once = (F.col("a") != F.col("b")) & (F.col("la") | (F.col("a") < F.col("b")))
+    enough = 2 * F.least(F.col("da") - F.col("aa"), F.col("db") - F.col("ab")) + 1e-6 >= F.col("da") + F.col("db") - c * (F.col("na") + F.col("nb"))
+    sizes = F.least("na", "nb") * SHARE[1] >= F.greatest("na", "nb") * SHARE[0]
+    pairs = y.join(x, ["hub", "e"]).filter(once & enough & sizes).select("hub", "a", "b").distinct()
+    one = rows.select("hub", F.col("id").alias("a"), F.col("n").alias("na"), F.col("diff").alias("fa"))
+    two = rows.select("hub", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("diff").alias("fb"))
+    whole = pairs.join(one, ["hub", "a"]).join(two, ["hub", "b"])
+    apart = F.size("fa") + F.size("fb") - 2 * F.size(F.array_intersect("fa", "fb"))
+    return whole.filter(apart * (SHARE[0] + SHARE[1]) <= (SHARE[1] - SHARE[0]) * (F.col("na") + F.col("nb"))).select("a", "b").distinct()
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -194,27 +223,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", k
     sigs = scratch.put(signatures(df, id_col, text, k))
     classes = scratch.put(sigs.filter("d1 IS NOT NULL").groupBy("d1", "d2").agg(F.min("id").alias("rep")))
     # One row per class; a repeated row of the smallest id must not come twice.
-    reps = scratch.put(sigs.join(classes.select(F.col("rep").alias("id"), F.col("d1"), F.col("d2")), ["id", "d1", "d2"], "left_semi").dropDuplicates(["id", "d1", "d2"]).select("id", "n", "bands", "sig"))
-    rows = reps.select("id", "n", F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("key", "lead")
-    shared = scratch.put(rows.join(buckets, "key").select("key", "id", "n", "lead"))
-    needed = shared.select("id").distinct()
+    reps = scratch.put(sigs.join(classes.select(F.col("rep").alias("id"), F.col("d1"), F.col("d2")), ["id", "d1", "d2"], "left_semi").dropDuplicates(["id"]).select("id", "n", "bands", "sig"))
+    rows = reps.select("id", F.explode("bands").alias("key"))
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    shared = scratch.put(rows.join(sizes, "key"))
+    mates = shared.groupBy("id").agg(F.sum("c").alias("mates"))
+    ranked = shared.join(mates, "id").select("key", "id", "mates")
+    hubs = ranked.groupBy("key").agg(F.max_by("id", F.struct("mates", -F.col("id"))).alias("hub"))
+    pairs = scratch.put(shared.join(hubs, "key").filter("id != hub").select("hub", "id").distinct())
+    needed = pairs.select("id").unionByName(pairs.select(F.col("hub").alias("id"))).distinct()
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).join(needed, "id").dropDuplicates(["id"])
     texts = scratch.put(texts)
-    first = scratch.put(likely(shared.filter("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), reps))
-    links = scratch.put(confirmed(first, texts, k))
-    found = scratch.put(components(links, scratch))
-    # Completion: members of one bucket in different components.
-    placed = shared.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("key")
-    open_ = scratch.put(placed.join(mixed, "key"))
-    one = open_.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    two = open_.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.least("na", "nb") * SHARE[1] >= F.greatest("na", "nb") * SHARE[0])
-    rest = one.join(two, "key").filter(fits).select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    more = scratch.put(confirmed(scratch.put(likely(rest, reps)), texts, k))
-    if not more.isEmpty():
-        found = scratch.put(components(links.unionByName(more), scratch))
+    tested = scratch.put(against_hubs(pairs, reps, texts, k))
+    direct = tested.filter("linked").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    found = scratch.put(components(direct.unionByName(between_members(tested)), scratch))
     class_of = sigs.join(classes, ["d1", "d2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
     out = class_of.join(found.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.coalesce("component", "rep")
