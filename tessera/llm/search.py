@@ -67,41 +67,47 @@ def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def best(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray, k: int) -> tuple[list, dict]:
-    """(query, id, score) of each query's k best rows in a cell, and how many pairs each level left."""
+    """(query, id, score) of each query's k best rows in a cell, and how many pairs each level left.
+
+    Pairs stay a mask while many are left (one dense product is then cheaper) and
+    become a list once few are.
+    """
     width = max(q.shape[1], x.shape[1])
     q, x = widen(q, width), widen(x, width)
     out, left = [], {level: 0 for level in (*LEVELS, "pairs")}
     levels = [(statistics(q, s), statistics(x, s)) for s in LEVELS]
+    small = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * width < EXACT
+    longest = max(1.0, float(np.linalg.norm(x, axis=1).max(initial=0)))
     for at in range(0, len(q), STRIP):
         ids, qs = q_ids[at : at + STRIP], q[at : at + STRIP]
-        other = ids[:, None] != x_ids[None, :]
-        left["pairs"] += int(other.sum())
-        # A first threshold: exact scores of the rows that the middle level likes best.
-        middle = levels[1][0][at : at + STRIP] @ levels[1][1].T
-        middle[~other] = -np.inf
-        seeds = min(2 * k, x.shape[0])
-        likely = np.argpartition(-middle, seeds - 1, axis=1)[:, :seeds]
+        alive = ids[:, None] != x_ids[None, :]
+        left["pairs"] += int(alive.sum())
+        # A first threshold: exact scores of the rows that the finest level likes best.
+        liked = np.where(alive, levels[-1][0][at : at + STRIP] @ levels[-1][1].T, -np.inf)
+        seeds = min(2 * k, len(x))
+        likely = np.argpartition(-liked, seeds - 1, axis=1)[:, :seeds]
         rows = np.repeat(np.arange(len(qs)), seeds)
         first = exact(qs[rows], x[likely.ravel()]).astype(np.float64).reshape(len(qs), seeds)
-        first[~np.take_along_axis(other, likely, 1)] = -np.inf
+        first[~np.take_along_axis(alive, likely, 1)] = -np.inf
         limit = np.sort(first, axis=1)[:, -k] if seeds >= k else np.full(len(qs), -np.inf)
-        slack = 1e-9 * np.linalg.norm(qs, axis=1)[:, None] * max(1.0, float(np.linalg.norm(x, axis=1).max(initial=0)))
-        limit = limit[:, None] - slack - 1e-6
-        i, j = np.nonzero(other)
+        limit = (limit - 1e-9 * np.linalg.norm(qs, axis=1) * longest - 1e-6)[:, None]
         for level, (a, b) in zip(LEVELS, levels, strict=True):
-            mine = a[at : at + STRIP]
-            if 4 * len(i) > other.size:  # most pairs are left: one dense product is cheaper
-                bound = (mine @ b.T)[i, j]
-            else:
-                bound = np.concatenate([np.einsum("ij,ij->i", mine[i[p : p + 65536]], b[j[p : p + 65536]]) for p in range(0, len(i), 65536)] or [np.zeros(0)])
-            keep = bound >= limit[i, 0]
-            i, j = i[keep], j[keep]
-            left[level] += len(i)
-        score = np.concatenate([exact(qs[i[p : p + 65536]], x[j[p : p + 65536]]) for p in range(0, len(i), 65536)] or [np.zeros(0, np.int64)])
-        order = np.lexsort((x_ids[j], -score.astype(np.float64), i)) if score.dtype != object else np.array(sorted(range(len(i)), key=lambda p: (i[p], -score[p], x_ids[j[p]])), dtype=int)
+            if 8 * (n := int(alive.sum())) > alive.size:
+                alive &= a[at : at + STRIP] @ b.T >= limit
+            elif n:
+                i, j = np.nonzero(alive)
+                alive[i, j] = np.einsum("ij,ij->i", a[at + i], b[j]) >= limit[i, 0]
+            left[level] += int(alive.sum())
+        if small and 8 * int(alive.sum()) > alive.size and len(x) > k:
+            scores = np.where(alive, qs @ x.T, -np.inf)
+            i, j = np.nonzero(alive & (scores >= np.partition(scores, -k, axis=1)[:, -k, None]))
+            score = scores[i, j].astype(np.int64)
+        else:
+            i, j = np.nonzero(alive)
+            score = np.concatenate([exact(qs[i[p : p + 65536]], x[j[p : p + 65536]]) for p in range(0, len(i), 65536)] or [np.zeros(0, np.int64)])
+        order = np.lexsort((x_ids[j], -score, i)) if score.dtype != object else np.array(sorted(range(len(i)), key=lambda p: (i[p], -score[p], x_ids[j[p]])), dtype=int)
         i, j, score = i[order], j[order], score[order]
-        rank = np.arange(len(i)) - np.searchsorted(i, i)
-        keep = rank < k
+        keep = np.arange(len(i)) - np.searchsorted(i, i) < k
         out += zip(ids[i[keep]].tolist(), x_ids[j[keep]].tolist(), score[keep].tolist(), strict=True)
     return out, left
 
