@@ -35,18 +35,27 @@ def score(judged: DataFrame, *by: str) -> DataFrame:
 def with_strata(units: DataFrame) -> DataFrame:
     """Add the stratum (0, 1, 2): thirds of ceil(n / 3) by count, most repeated first.
 
-    Ranks come from a histogram of counts, not from one global sort: within a count, units are
-    numbered by hash in windows per count and hash prefix, so no task ranks the whole table.
+    Ranks come from counts, not from one global sort: those of greater counts (a row per distinct
+    count), those of earlier hash prefixes within a count, and a rank within the prefix.
     """
     n = units.count()
-    third = -(-n // 3)
-    cells = units.withColumn("__cell", F.left("hash", F.lit(2)))
-    order = Window.orderBy(F.desc("count"), "__cell").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = cells.groupBy("count", "__cell").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(order), F.lit(0))).drop("__n")
-    inside = F.row_number().over(Window.partitionBy("count", "__cell").orderBy("hash")) - 1
-    ranked = cells.withColumn("__r", inside).join(before, ["count", "__cell"]).withColumn("rank", F.col("__r") + F.col("__before"))
-    return ranked.withColumn("stratum", F.least(F.floor(F.col("rank") / max(third, 1)), F.lit(2)).cast("int")).drop("__cell", "__r", "__before")
+    ranked = two_level_rank(units.withColumn("__cell", F.left("hash", F.lit(4))), "count", "__cell", "hash").drop("__cell")
+    return ranked.withColumn("stratum", F.least(F.floor(F.col("rank") / max(-(-n // 3), 1)), F.lit(2)).cast("int"))
+
+
+def two_level_rank(rows: DataFrame, value: str, cell: str, *order: str) -> DataFrame:
+    """Add ``rank`` (from 0) by value descending, then cell, then the order within the cell.
+
+    No window holds more than a cell, the cells of one value, or the distinct values.
+    """
+    sizes = rows.groupBy(value, cell).agg(F.count(F.lit(1)).alias("__n"))
+    totals = sizes.groupBy(value).agg(F.sum("__n").alias("__t"))
+    above = totals.select(value, F.coalesce(F.sum("__t").over(Window.orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__above"))
+    earlier = F.coalesce(F.sum("__n").over(Window.partitionBy(value).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = sizes.withColumn("__earlier", earlier).drop("__n").join(above, value)
+    inside = F.row_number().over(Window.partitionBy(value, cell).orderBy(*order)) - 1
+    joined = rows.withColumn("__r", inside).join(before, [value, cell])
+    return joined.withColumn("rank", F.col("__r") + F.col("__earlier") + F.col("__above")).drop("__r", "__earlier", "__above")
 
 
 def quotas(units: DataFrame, n: int = K.SAMPLE) -> DataFrame:

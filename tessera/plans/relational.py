@@ -65,7 +65,7 @@ def units_by_kind(spark, sf):
 
 @query("extract_summary", f"{WITH}, {DEDUP} SELECT (SELECT count(DISTINCT doc_id) FROM units) AS pages, (SELECT count(*) FROM units) AS segments, (SELECT count(*) FROM deduped) AS units, (SELECT CAST(sum({S.word_count('text')}) AS BIGINT) FROM deduped) AS words")
 def extract_summary(spark, sf):
-    per_unit = units(spark, sf).groupBy("hash").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("n"), F.collect_set("doc_id").alias("docs"))
+    per_unit = units(spark, sf).groupBy("hash").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("n"))
     totals = per_unit.agg(F.sum("n").alias("segments"), F.count(F.lit(1)).alias("units"), F.sum(T.word_count(F.col("text"))).alias("words"))
     pages = units(spark, sf).agg(F.count_distinct("doc_id").alias("pages"))
     return totals.join(F.broadcast(pages), F.lit(True)).select("pages", "segments", "units", "words")
@@ -262,14 +262,10 @@ def page_pair(spark, sf):
 
 @query("units_ranked", f"{WITH}, f AS (SELECT hash, count(*) AS count, min((doc_id, seg)) AS seen FROM units GROUP BY hash) SELECT hash, count, row_number() OVER (ORDER BY count DESC, seen, hash) AS place FROM f")
 def units_ranked(spark, sf):
-    """Places by count, then first seen: a two-level rank over (count, id range), so no task sorts all units."""
-    ranked = deduped(spark, sf).select("hash", "count", F.col("first_seen.doc_id").alias("d"), F.col("first_seen.seg").alias("s"))
-    cell = ranked.withColumn("cell", F.floor(F.col("d") / 1024))
-    sizes = cell.groupBy("count", "cell").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy(F.desc("count"), "cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inside = F.row_number().over(Window.partitionBy("count", "cell").orderBy("d", "s", "hash"))
-    joined = cell.withColumn("r", inside).join(sizes.withColumn("before", before).drop("n"), ["count", "cell"])
-    return joined.select("hash", "count", (F.col("r") + F.col("before")).alias("place"))
+    """Places by count, then first seen."""
+    rows = deduped(spark, sf).select("hash", "count", F.col("first_seen.doc_id").alias("d"), F.col("first_seen.seg").alias("s"))
+    ranked = quality.two_level_rank(rows.withColumn("cell", F.floor(F.col("d") / 65_536)), "count", "cell", "d", "s", "hash")
+    return ranked.select("hash", "count", (F.col("rank") + 1).alias("place"))
 
 
 @query("top_units", f"{WITH}, {DEDUP} SELECT hash, count FROM deduped ORDER BY count DESC, hash LIMIT 50")
