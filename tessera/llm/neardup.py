@@ -147,7 +147,7 @@ def prefix_size(linked: bool, d: int, n: int, hub: int) -> int:
     return d - max(1, int(np.ceil(shared - 1e-9))) + 1
 
 
-def against_hubs(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+def against_hubs(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """(hub, id, n, nh, linked, diff, first) of pairs (hub, id): signature, then full sets; differences, additions first."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,8 +168,8 @@ def against_hubs(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, k: int) ->
                     rows.append((hub, other, len(z), len(h), linked, diff, prefix_size(linked, len(diff), len(z), len(h))))
             yield pd.DataFrame(rows, columns=["hub", "id", "n", "nh", "linked", "diff", "first"])
 
-    hubs = texts.join(sigs.select("id", "sig"), "id").select(F.col("id").alias("hub"), F.col("t").alias("ht"), F.col("sig").alias("hs"))
-    rest = texts.join(sigs.select("id", "sig"), "id").select("id", "t", F.col("sig").alias("s"))
+    hubs = texts.select(F.col("id").alias("hub"), F.col("t").alias("ht"), F.col("sig").alias("hs"))
+    rest = texts.select("id", "t", F.col("sig").alias("s"))
     return pairs.join(rest, "id").join(hubs, "hub").select("hub", "id", "ht", "t", "hs", "s").mapInPandas(run, "hub long, id long, n long, nh long, linked boolean, diff array<long>, first int")
 
 
@@ -232,9 +232,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", k
     hubs = ranked.groupBy("key").agg(F.max_by("id", F.struct("mates", -F.col("id"))).alias("hub"))
     pairs = scratch.put(shared.join(hubs, "key").filter("id != hub").select("hub", "id").distinct())
     needed = pairs.select("id").unionByName(pairs.select(F.col("hub").alias("id"))).distinct()
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).join(needed, "id").dropDuplicates(["id"])
+    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).join(reps.select("id", "sig").join(needed, "id"), "id").dropDuplicates(["id"])
     texts = scratch.put(texts)
-    tested = scratch.put(against_hubs(pairs, reps, texts, k))
+    tested = scratch.put(against_hubs(pairs, texts, k))
     direct = tested.filter("linked").select(F.col("hub").alias("a"), F.col("id").alias("b"))
     found = scratch.put(components(direct.unionByName(between_members(tested)), scratch))
     class_of = sigs.join(classes, ["d1", "d2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
