@@ -152,7 +152,8 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     """Fit on a bounded sample of the labelled rows open to training."""
     known = labels.groupBy(id_col).agg(F.max(label).alias("y"))
     chosen = sample(known, id_col, "y", most)
-    rows = chosen.join(df.select(id_col, F.col(text).alias("t")), id_col).select(F.col(id_col).alias("id"), "t", "y")
+    # The sample's ids are few by its bound, so they are broadcast and the texts are not exchanged.
+    rows = df.select(id_col, F.col(text).alias("t")).join(F.broadcast(chosen), id_col).select(F.col(id_col).alias("id"), "t", "y")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = pd.concat([pd.DataFrame({"id": [], "t": [], "y": []}), *batches]).sort_values(["id", "t"])
