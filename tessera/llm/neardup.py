@@ -200,14 +200,15 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     seen = state(edges)
     while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # The minima are written out: a join of two plain exchanges can be split where a node has many neighbours.
+        least = scratch.put(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = scratch.put(large)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        linked = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = scratch.put(linked.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        lowest = scratch.put(large.groupBy("u").agg(F.min("v").alias("m")))
+        linked = large.join(lowest, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = scratch.put(linked.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct())
         now = state(small)
-        for old in (edges, large):
+        for old in (edges, large, least, lowest):
             scratch.drop(old)
         edges = small
         if now == seen:
