@@ -29,4 +29,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op5_exact_top_k_search": search.ORACLE}
+    return {"op5_exact_top_k_search": search.ORACLE, "op7_minhash_near_dedup": neardup.ORACLE}

@@ -147,6 +147,9 @@ def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str =
 def apply_mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mixed corpus: a row for each turn that takes words of a document, with the columns given.
 
+    ``df`` is read twice and must give its rows in the same partitions each time, as a
+    stored table does; write anything else out first.
+
     A document taken whole stays as it is; where a source's target cuts a document,
     the last row holds its first words, joined by single spaces.
     """

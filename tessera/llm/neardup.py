@@ -238,6 +238,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", k
     tested = scratch.put(against_hubs(pairs, texts, k))
     direct = tested.filter("linked").select(F.col("hub").alias("a"), F.col("id").alias("b"))
     found = scratch.put(components(direct.unionByName(between_members(tested)), scratch))
+    for table in (reps, shared, pairs, texts, tested):  # nothing below reads them
+        scratch.drop(table)
     class_of = sigs.join(classes, ["d1", "d2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
     out = class_of.join(found.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.coalesce("component", "rep")
@@ -248,3 +250,19 @@ def query(spark, sf_dir):
     """op7: near-duplicate components of all documents, on two-word shingles."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_duplicates(docs, k=2)
+
+
+ORACLE = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS s FROM w
+), n AS (SELECT doc_id, len(s) AS n FROM s), f AS (SELECT doc_id, unnest(s) AS e FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM f a JOIN f b ON a.e = b.e AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r(doc_id, component) AS (
+  SELECT doc_id, doc_id FROM n UNION SELECT l.b, r.component FROM r JOIN l ON l.a = r.doc_id
+)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, m.component_id, n.doc_id = m.component_id AS kept
+FROM n JOIN (SELECT doc_id, min(component) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)
+"""

@@ -144,9 +144,9 @@ def query(spark, sf_dir):
 
 ORACLE = """
 WITH v AS (
-  SELECT CAST(vec_id AS BIGINT) AS id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+  SELECT CAST(vec_id AS BIGINT) AS id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.id AS query_id, c.id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
   FROM v q, v c WHERE q.id % 50 = 0 AND c.id <> q.id
