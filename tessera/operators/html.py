@@ -30,6 +30,8 @@ ship(__name__)
 _inline, _skip, _void = frozenset(K.INLINE), frozenset(K.SKIP), frozenset(K.VOID)
 _formatting = frozenset("a b big code em font i s small strike strong tt u".split())
 _text_attrs, _meta_keys, _json_keys = tuple(K.TEXT_ATTRS), frozenset(K.META_KEYS), tuple(K.JSONLD_KEYS)
+# Plain values, not modules: functions that go to executors must not need the package there.
+_tech, _tag = frozenset(K.TECH_TOKENS), T.TAG
 #: Elements that end an open <p>, and elements that end an open one of their own kind.
 _ends_p = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _ends_own = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
@@ -135,9 +137,9 @@ def strip_ws(s: str) -> str:
 
 def worth(s: str) -> bool:
     """The row-level twin of ``functions.text.translatable``."""
-    if len(s) < 2 or not any(c.isalpha() for c in s) or s in K.TECH_TOKENS or s == "English":
+    if len(s) < 2 or not any(c.isalpha() for c in s) or s in _tech or s == "English":
         return False
-    if re.fullmatch(r"(?:[0-9.,:%+\-–—/()]|\s)+", s) or re.fullmatch(rf"(?:\s|{T.TAG})*", s) or re.fullmatch(r"[A-Z0-9.+-]{2,8}", s):
+    if re.fullmatch(r"(?:[0-9.,:%+\-–—/()]|\s)+", s) or re.fullmatch(rf"(?:\s|{_tag})*", s) or re.fullmatch(r"[A-Z0-9.+-]{2,8}", s):
         return False
     if re.fullmatch(r"(?i)(?:https?://|//|mailto:|tel:|#|/)\S*", s) or re.fullmatch(r"\S+@\S+\.\S+", s):
         return False

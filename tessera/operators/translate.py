@@ -24,6 +24,9 @@ from ..workers import ship
 
 ship(__name__)
 
+# Plain values, not modules: functions that go to executors must not need the package there.
+RETRIES, TAG = K.RETRIES, T.TAG
+
 
 class Translator(Protocol):
     """What a model provider must offer; ``unwrap``, ``pricing``, ``unsupported_json_mode`` and ``unsupported_param`` are optional."""
@@ -91,7 +94,7 @@ def call_model(translator: Translator, items: list[dict], lang: str, sleep: Call
         status, body = translator.request(items, lang, 0.2 if attempt == 0 else 0.4, LADDER[mode], dropped)
         if status == 0 or status == 429 or status >= 500:
             attempt += 1
-            if attempt > K.RETRIES:
+            if attempt > RETRIES:
                 out.errors.update({i["id"]: f"status {status}" for i in items})
                 return out
             sleep(wait_s(attempt))
@@ -189,7 +192,7 @@ def check(source: str, out: str | None) -> str | None:
 
     if not (out or "").strip():
         return "empty"
-    tags = lambda t: sorted(re.findall(T.TAG, t))
+    tags = lambda t: sorted(re.findall(TAG, t))
     return None if tags(source) == tags(out) else "placeholder-mismatch"
 
 
