@@ -39,9 +39,9 @@ ship(__name__)
 BUCKETS, DIM = 1 << 16, 8
 MASK = BUCKETS - 1
 WINDOW = 10
-MAX_TRAIN = 6_000
+MAX_TRAIN = 9_000
 STEPS, WARM = 90, 20
-RATE, DECAY = 0.05, 3e-4
+RATE, DECAY = 0.05, 5e-4
 THRESHOLD = 0.3
 CACHE = 300_000
 STRIP = ".,;:!?\"'()[]{}<>«»“”‘’*_-#&%$"
