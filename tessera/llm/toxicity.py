@@ -41,6 +41,7 @@ MASK = BUCKETS - 1
 WINDOW = 10
 MAX_TRAIN = 9_000
 STEPS, WARM = 90, 20
+BLOCK = 50_000  # words whose n-grams are summed at once
 RATE, DECAY = 0.05, 5e-4
 THRESHOLD = 0.3
 CACHE = 300_000
@@ -81,7 +82,7 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
             window_size.append(len(mine[at : at + WINDOW]))
             window_doc.append(d)
         tokens.append(np.array(mine, np.int32))
-    tokens = np.concatenate(tokens)
+    tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.int32)
     size, doc = np.array(window_size), np.array(window_doc)
     start = np.concatenate([[0], np.cumsum(size)[:-1]])
     flat, sizes = array("i"), array("i")  # compact: the sample's vocabulary may have half a million words
@@ -92,7 +93,7 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
     del vocabulary
     gram, g_size = np.frombuffer(flat, np.int32), np.frombuffer(sizes, np.int32)
     g_start = np.concatenate([[0], np.cumsum(g_size)[:-1]])
-    g_word = np.repeat(np.arange(len(g_size), dtype=np.int32), g_size)
+    g_end = np.append(g_start, len(gram))
     token_window = np.repeat(np.arange(len(size), dtype=np.int32), size)
     first = np.searchsorted(doc, np.arange(len(texts)))
     count = np.bincount(doc, minlength=len(texts))
@@ -105,10 +106,24 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (e, v, b)]
 
     def forward():
-        p = (e @ v).astype(np.float32)
-        s = segment_mean(p[gram], g_start, g_size)
+        p, s = (e @ v).astype(np.float32), np.empty(len(g_size), np.float32)
+        for i in range(0, len(g_size), BLOCK):  # in blocks of words, to bound memory
+            j = min(i + BLOCK, len(g_size))
+            s[i:j] = segment_mean(p[gram[g_start[i] : g_end[j]]], g_start[i:j] - g_start[i], g_size[i:j])
         return segment_mean(s[tokens], start, size) * WINDOW + b[0]
 
+    def spread(dz: np.ndarray) -> np.ndarray:
+        """The gradient of the windows' logits, carried back to the n-grams."""
+        per_token, ds, dp = (dz * WINDOW / size).astype(np.float32), np.zeros(len(g_size)), np.zeros(BUCKETS)
+        for i in range(0, len(tokens), 8 * BLOCK):
+            part = slice(i, i + 8 * BLOCK)
+            ds += np.bincount(tokens[part], weights=per_token[token_window[part]], minlength=len(g_size))
+        ds /= g_size
+        for i in range(0, len(g_size), BLOCK):
+            j = min(i + BLOCK, len(g_size))
+            dp += np.bincount(gram[g_start[i] : g_end[j]], weights=np.repeat(ds[i:j], g_size[i:j]), minlength=BUCKETS)
+        return dp
+
     def pooled(z: np.ndarray, warm: bool) -> tuple[np.ndarray, np.ndarray]:
         """A document's logit and each window's share in it."""
         out = np.full(len(texts), b[0])
@@ -129,8 +144,7 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
         error = (1 / (1 + np.exp(-np.clip(out, -40, 40))) - labels) * weight
         dz = error[doc] * share
         db = np.array([dz.sum()])
-        ds = np.bincount(tokens, weights=(dz * WINDOW / size).astype(np.float32)[token_window], minlength=len(g_size))
-        dp = np.bincount(gram, weights=(ds / g_size).astype(np.float32)[g_word], minlength=BUCKETS)
+        dp = spread(dz)
         gradients = (np.outer(dp, v) + DECAY * e, e.T @ dp + DECAY * v, db)
         for x, g, moments in zip((e, v, b), gradients, state, strict=True):
             moments[0] *= 0.9
