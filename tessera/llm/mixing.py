@@ -9,7 +9,7 @@ to the word: the last block is cut there.
 
 Scale: only (id, source, size) travels. Word offsets are a two-level prefix sum
 over hash buckets, so a hot source is spread over ``BUCKETS`` windows. The
-schedule has about ``SLOTS`` rows whatever the input, which bounds its broadcast;
+schedule has about ``SLOTS`` rows and a few a source whatever the input, which bounds its broadcast;
 the list of sources (two numbers each) is the only thing the driver holds.
 
 Edge cases: null text has size 0; a null source is a source of its own, ordered
@@ -68,21 +68,28 @@ def source_targets(light: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> list
     return [{"source": r["source"], "size": r["s"], "target": float(t), "take": min(CAP * r["s"], int(t + Fraction(1, 2)))} for r, t in zip(found, targets, strict=True)]
 
 
+def slots_needed(take: int, line: int, block: int) -> int:
+    """Slots that take so many words of a line: every pass ends in a block that may be short."""
+    if not line:
+        return 0
+    turns, rest = divmod(take, line)
+    return turns * -(-line // block) + -(-rest // block)
+
+
 def schedule(spark, plan: list[dict], block: int) -> DataFrame:
     """(number, block, words): how much of each block the mix takes in all passes, from the slots.
 
-    Slots are ranked per source in two levels: by chunk of slots, then within it.
+    Slots are ranked per source in two levels: by chunk of slots, then within it. Ranks
+    that a source needs and the sequence has not reached come after the schedule.
     """
     total = sum(p["take"] for p in plan)
     bounds, at = [], 0
     for p in plan:
         at += p["take"]
         bounds.append(at / total if total else 1.0)
-    needed = [-(-p["take"] // block) for p in plan]
-    # The sequence gives each source its share of n slots up to a few; the surplus is cut by rank below.
+    needed = [slots_needed(p["take"], p["size"], block) for p in plan]
+    # The sequence gives each source its share of n slots up to a few; the surplus is cut by rank below, the rest is completed.
     slots = int(sum(needed) * 1.01) + 64 * max(1, len(plan))
-    if total:
-        slots = max(slots, max(int(n * total / p["take"]) + 64 for n, p in zip(needed, plan, strict=True) if p["take"]))
     listed = ",".join(f"{b:.17g}D" for b in bounds[:-1])
     point = F.expr(f"(id + 1) * {PHI} - floor((id + 1) * {PHI})")
     numbered = spark.range(slots).select("id", point.alias("u"))
@@ -94,7 +101,11 @@ def schedule(spark, plan: list[dict], block: int) -> DataFrame:
     offsets = marked.groupBy("number", "chunk").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     inside = Window.partitionBy("number", "chunk").orderBy("id")
     ranked = marked.withColumn("r", F.row_number().over(inside) - 1).join(offsets, ["number", "chunk"]).withColumn("rank", F.col("r") + F.col("before"))
-    facts = spark.createDataFrame([(i, p["take"], p["size"], -(-p["size"] // block)) for i, p in enumerate(plan)], "number int, take long, line long, blocks long")
+    facts = spark.createDataFrame([(i, p["take"], p["size"], -(-p["size"] // block), n) for i, (p, n) in enumerate(zip(plan, needed, strict=True))], "number int, take long, line long, blocks long, needed long")
+    reached = marked.groupBy("number").agg(F.count(F.lit(1)).alias("reached"))
+    short = facts.join(F.broadcast(reached), "number", "left").withColumn("reached", F.coalesce("reached", F.lit(0))).filter("reached < needed")
+    missing = short.select("number", F.explode(F.expr("sequence(reached, needed - 1)")).alias("rank"))
+    ranked = ranked.select("number", "rank").unionByName(missing)
     # Pass and block of each rank; the words it takes end at the line's end and at the target.
     placed = ranked.join(F.broadcast(facts), "number").filter("blocks > 0").withColumn("turn", F.expr("rank div blocks")).withColumn("block", F.expr("rank % blocks"))
     words = F.expr(f"least({block}L, line - block * {block}L, take - turn * line - block * {block}L)")

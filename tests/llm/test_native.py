@@ -190,3 +190,14 @@ def test_schedule_is_even(spark):
     for r in mixing.schedule(spark, plan, 7).collect():
         got[r["number"]] = got.get(r["number"], 0) + r["words"]
     assert got == {0: 1000, 1: 200, 2: 50}
+
+
+def test_schedule_completes_small_sources(spark):
+    sizes = [30_000_000, 9_000_000, 4_000_000, 12_000_000, 100, 1000, 3000]
+    takes = [int(t + Fraction(1, 2)) for t in mixing.water_fill(sizes, [5, 2, 1, 5, 2, 1, 5])]
+    assert takes[4:] == [200, 2000, 6000]
+    plan = [{"take": t, "size": s} for t, s in zip(takes, sizes, strict=True)]
+    rows = mixing.schedule(spark, plan, -(-sum(takes) // mixing.SLOTS))
+    got = {r["number"]: (r["w"], r["n"], r["d"]) for r in rows.groupBy("number").agg(F.sum("words").alias("w"), F.count(F.lit(1)).alias("n"), F.count_distinct("turn", "block").alias("d")).collect()}
+    assert [got[i][0] for i in range(len(sizes))] == takes
+    assert all(n == d for _, n, d in got.values())
