@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..workers import ship
+
+ship(__name__)
 
 JSONLD = r'(?s)<script type="application/ld\+json">(.*?)</script>'
 
@@ -74,21 +80,39 @@ def page_findings(pages: DataFrame, base: str, locales: list[str], source: str =
     return wide.select("page", F.explode(every).alias("f")).select("page", "f.check", "f.detail")
 
 
-def jsonld_findings(pages: DataFrame, base: str, source: str = "en", depth: int = 4) -> DataFrame:
-    """Findings about language, identity and address of JSON-LD nodes.
+def jsonld_nodes(block: Column) -> Column:
+    """Every object in a JSON-LD block at any depth, as JSON of the keys that are audited."""
+
+    @F.pandas_udf("array<string>")
+    def run(blocks: pd.Series) -> pd.Series:
+        # Numbers stay as written.
+        decoder = json.JSONDecoder(parse_int=str, parse_float=str)
+
+        def walk(text: str) -> list[str]:
+            found, todo = [], [decoder.raw_decode(text.lstrip(" \t\r\n"))[0]]
+            while todo:
+                value = todo.pop()
+                if isinstance(value, dict):
+                    found.append(json.dumps({k: value[k] for k in ("@type", "inLanguage", "url", "@id") if value.get(k) is not None}, separators=(",", ":")))
+                    value = list(value.values())
+                if isinstance(value, list):
+                    todo.extend(v for v in value if isinstance(v, dict | list))
+            return found
+
+        return blocks.map(walk)
+
+    return run(block)
+
+
+def jsonld_findings(pages: DataFrame, base: str, source: str = "en") -> DataFrame:
+    """Findings about language, identity and address of JSON-LD nodes, at any depth.
 
-    Nodes are unnested level by level (the top, lists, @graph and object members), ``depth`` levels deep.
+    Blocks that Spark's parser refuses, also for its limits (1,000 levels), are ``jsonld-invalid`` in ``page_findings``.
     """
     slug = F.when(F.col("slug") == "index", "").otherwise(F.col("slug"))
     own = T.page_url(base, F.when(F.col("lang") == source, F.lit(None)).otherwise(F.col("lang")), slug)
-    top = pages.select("page", "lang", own.alias("own"), F.explode(F.regexp_extract_all("html", F.lit(JSONLD), F.lit(1))).alias("node")).filter(F.try_parse_json("node").isNotNull())
-    level, nodes = top, None
-    for _ in range(depth):
-        listed = level.filter(F.ltrim("node").startswith("[")).select("page", "lang", "own", F.explode(F.from_json("node", "array<string>")).alias("node"))
-        objects = level.filter(F.ltrim("node").startswith("{"))
-        nodes = objects if nodes is None else nodes.unionByName(objects)
-        inner = objects.select("page", "lang", "own", F.explode(F.map_values(F.from_json("node", "map<string,string>"))).alias("node"))
-        level = listed.unionByName(inner).filter(F.ltrim("node").rlike(r"^[\[{]"))
+    blocks = pages.select("page", "lang", own.alias("own"), F.explode(F.regexp_extract_all("html", F.lit(JSONLD), F.lit(1))).alias("block")).filter(F.try_parse_json("block").isNotNull())
+    nodes = blocks.select("page", "lang", "own", F.explode(jsonld_nodes(F.col("block"))).alias("node"))
     get = lambda key: F.get_json_object("node", f"$['{key}']")
     types, language, address, identity = get("@type"), get("inLanguage"), get("url"), get("@id")
     page = F.coalesce(types.rlike(r'(^|")WebPage("|$)'), F.lit(False))

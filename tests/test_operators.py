@@ -115,6 +115,20 @@ def test_audit(spark):
     assert [c for c, _ in rows if (c, c) not in found] == []
 
 
+def test_audit_nested_jsonld(spark):
+    page = {"@type": "WebPage", "inLanguage": "zh", "@id": "x", "url": "y"}
+    shallow = {"@graph": [{"mainEntity": {"itemListElement": [page, {"inLanguage": "ar", "name": '{"inLanguage": "zh"}'}]}}]}
+    deep = page
+    for i in range(450):
+        deep = {"item": [deep]} if i % 2 else [{"item": deep}]
+    lone = '{"a": {"b": {"c": {"d": {"e": {"inLanguage": "zh", "n": 1e999, "name": "\\ud800"}}}}}}'
+    rows = [("shallow", json.dumps(shallow)), ("deep", json.dumps(deep)), ("lone", lone), ("scalar", '"inLanguage"'), ("bad", "{nope")]
+    p = spark.createDataFrame([(n, "ar", "about", f'<script type="application/ld+json">{b}</script>') for n, b in rows], "page string, lang string, slug string, html string")
+    found = sorted((r["page"], r["check"], r["detail"]) for r in audit.jsonld_findings(p, BASE).collect())
+    whole = [("jsonld-inlanguage", "zh"), ("jsonld-webpage-id", "x"), ("jsonld-webpage-url", "y")]
+    assert found == [("deep", *f) for f in whole] + [("lone", "jsonld-inlanguage", "zh")] + [("shallow", *f) for f in whole]
+
+
 def test_sitemap(spark):
     files = spark.createDataFrame([("sitemap.xml", f"<loc>{BASE}/s1.xml</loc><loc>{BASE}/s2.xml</loc>"), ("s1.xml", f"<loc>{BASE}/a</loc><loc>{BASE}/b/</loc><loc>http://site.example/c</loc>")], "file string, xml string")
     built = spark.createDataFrame([(f"{BASE}/a",), (f"{BASE}/b",)], "url string")
