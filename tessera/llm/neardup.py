@@ -6,8 +6,8 @@
    minima of a band fall into one bucket.
 3. Each bucket has a hub, its member with the most bucket mates overall (in a family of
    edited copies that is the text they were made from). Every other member is paired
-   with it: one pair a member, however large the bucket. Signatures are compared,
-   then full shingle sets; linked members are connected through the hub.
+   with it: one pair a member, however large the bucket. Full shingle sets are
+   compared; linked members are connected through the hub.
 4. Pairs of a bucket that the hub does not connect are found by what differs from it.
    Let D(x) be the symmetric difference of x and the hub h. Since |x - y| (symmetric) is
    |D(x)| + |D(y)| - 2 |D(x) & D(y)|, a link of x and y fixes how many elements D(x) and
@@ -48,7 +48,6 @@ ship(__name__)
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 SHARE = (80, 100)  # linked where 100 * intersection >= 80 * union
-DEVIATIONS = 4.0  # of the estimate, allowed below the threshold
 CACHE = 400_000
 STRIP = 1024  # shingles hashed at once
 _rng = np.random.default_rng(20240229)
@@ -129,13 +128,6 @@ def signatures(df: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, n long, d1 long, d2 long, bands array<long>, sig binary")
 
 
-def far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Whether signatures (rows of bytes) put a pair clearly below the threshold."""
-    share = SHARE[0] / SHARE[1]
-    least = share - DEVIATIONS * (share * (1 - share) / HASHES) ** 0.5
-    return ((x == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256) < least
-
-
 def prefix_size(linked: bool, d: int, n: int, hub: int) -> int:
     """How many of a difference's first elements any partner that is to be found must share one of.
 
@@ -148,29 +140,26 @@ def prefix_size(linked: bool, d: int, n: int, hub: int) -> int:
 
 
 def against_hubs(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """(hub, id, n, nh, linked, diff, first) of pairs (hub, id): signature, then full sets; differences, additions first."""
+    """(hub, id, n, nh, linked, diff, first) of pairs (hub, id): by the full sets; differences, additions first."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, held = Shingler(k), (None, None)
         for batch in batches:
             rows = []
-            if len(batch):
-                x, y = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(len(batch), HASHES) for c in ("hs", "s"))
-                away = far(x, y)
-                for i, (hub, other, ht, t) in enumerate(zip(batch["hub"], batch["id"], batch["ht"], batch["t"], strict=True)):
-                    if held[0] != hub:
-                        held = (hub, shingle(ht))
-                    h, z = held[1], shingle(t)
-                    added, removed = np.setdiff1d(z, h, assume_unique=True), np.setdiff1d(h, z, assume_unique=True)
-                    both = len(z) - len(added)
-                    linked = not away[i] and SHARE[1] * both >= SHARE[0] * (len(h) + len(added))
-                    diff = np.concatenate([added, removed]).view(np.int64)
-                    rows.append((hub, other, len(z), len(h), linked, diff, prefix_size(linked, len(diff), len(z), len(h))))
+            for hub, other, ht, t in zip(batch["hub"], batch["id"], batch["ht"], batch["t"], strict=True):
+                if held[0] != hub:
+                    held = (hub, shingle(ht))
+                h, z = held[1], shingle(t)
+                added, removed = np.setdiff1d(z, h, assume_unique=True), np.setdiff1d(h, z, assume_unique=True)
+                both = len(z) - len(added)
+                linked = SHARE[1] * both >= SHARE[0] * (len(h) + len(added))
+                diff = np.concatenate([added, removed]).view(np.int64)
+                rows.append((hub, other, len(z), len(h), linked, diff, prefix_size(linked, len(diff), len(z), len(h))))
             yield pd.DataFrame(rows, columns=["hub", "id", "n", "nh", "linked", "diff", "first"])
 
-    hubs = texts.select(F.col("id").alias("hub"), F.col("t").alias("ht"), F.col("sig").alias("hs"))
-    rest = texts.select("id", "t", F.col("sig").alias("s"))
-    return pairs.join(rest, "id").join(hubs, "hub").select("hub", "id", "ht", "t", "hs", "s").mapInPandas(run, "hub long, id long, n long, nh long, linked boolean, diff array<long>, first int")
+    hubs = texts.select(F.col("id").alias("hub"), F.col("t").alias("ht"))
+    rest = texts.select("id", "t")
+    return pairs.join(rest, "id").join(hubs, "hub").select("hub", "id", "ht", "t").mapInPandas(run, "hub long, id long, n long, nh long, linked boolean, diff array<long>, first int")
 
 
 def between_members(tested: DataFrame) -> DataFrame:
@@ -224,7 +213,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", k
     sigs = scratch.put(signatures(df, id_col, text, k))
     classes = scratch.put(sigs.filter("d1 IS NOT NULL").groupBy("d1", "d2").agg(F.min("id").alias("rep")))
     # One row per class; a repeated row of the smallest id must not come twice.
-    reps = scratch.put(sigs.join(classes.select(F.col("rep").alias("id"), F.col("d1"), F.col("d2")), ["id", "d1", "d2"], "left_semi").dropDuplicates(["id"]).select("id", "n", "bands", "sig"))
+    reps = scratch.put(sigs.join(classes.select(F.col("rep").alias("id"), F.col("d1"), F.col("d2")), ["id", "d1", "d2"], "left_semi").dropDuplicates(["id"]).select("id", "n", "bands"))
     rows = reps.select("id", F.explode("bands").alias("key"))
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     shared = scratch.put(rows.join(sizes, "key"))
@@ -233,7 +222,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", k
     hubs = ranked.groupBy("key").agg(F.max_by("id", F.struct("mates", -F.col("id"))).alias("hub"))
     pairs = scratch.put(shared.join(hubs, "key").filter("id != hub").select("hub", "id").distinct())
     needed = pairs.select("id").unionByName(pairs.select(F.col("hub").alias("id"))).distinct()
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).join(reps.select("id", "sig").join(needed, "id"), "id").dropDuplicates(["id"])
+    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).join(needed, "id").dropDuplicates(["id"])
     texts = scratch.put(texts)
     tested = scratch.put(against_hubs(pairs, texts, k))
     direct = tested.filter("linked").select(F.col("hub").alias("a"), F.col("id").alias("b"))

@@ -334,3 +334,10 @@ def test_pipeline_on_odd_rows(spark, odd, empty, tmp_path):
         for _, stage in pipeline.STAGES:
             now = scratch.put(stage(spark, now, str(tmp_path)))
         assert now.count() >= 0
+
+
+def test_full_sets_decide_links(spark):
+    words = [f"w{i}" for i in range(20)]
+    texts = spark.createDataFrame([(1, " ".join(words), b"\x00" * 160), (2, " ".join([*words[1:], "x"]), b"\x01" * 160), (3, " ".join([*words[5:], "x"]), b"\x00" * 160)], "id long, t string, sig binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "hub long, id long")
+    assert {r["id"]: r["linked"] for r in neardup.against_hubs(pairs, texts, 1).collect()} == {2: True, 3: False}
