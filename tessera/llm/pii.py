@@ -309,11 +309,12 @@ def detect(df: DataFrame, text: str = "text", model: dict | None = None) -> Data
         )
     touch = "x.s < y.e AND y.s < x.e"
     rank = "array_position(array('email', 'ip', 'card', 'phone'), {}.kind)"
-    better = f"(y.p > x.p OR (y.p = x.p AND ({rank.format('y')} < {rank.format('x')} OR (y.kind = x.kind AND y.s < x.s))))"
+    first = f"CASE WHEN x.p != y.p THEN IF(x.p > y.p, -1, 1) WHEN x.kind != y.kind THEN cast({rank.format('x')} - {rank.format('y')} as int) ELSE x.s - y.s END"
+    best_first = f"aggregate(array_sort(__pii_new, (x, y) -> {first}), cast(array() as {struct}), (kept, x) -> IF(exists(kept, y -> {touch}), kept, array_append(kept, x)))"
     out = out.withColumn("base", F.concat(*[F.col(f"__pii_k_{kind}") for kind in KINDS]))
     out = out.withColumn("__pii_all", F.concat(*[F.col(f"__pii_p_{kind}") for kind in KINDS]))
     out = out.withColumn("__pii_new", F.expr(f"CASE WHEN size(__pii_all) > 0 THEN filter(__pii_all, x -> NOT exists(base, y -> {touch})) ELSE __pii_all END"))
-    out = out.withColumn("__pii_add", F.expr(f"CASE WHEN size(__pii_new) > 1 THEN filter(__pii_new, x -> NOT exists(__pii_new, y -> {touch} AND {better})) ELSE __pii_new END"))
+    out = out.withColumn("__pii_add", F.expr(f"CASE WHEN size(__pii_new) > 1 THEN {best_first} ELSE __pii_new END"))
     by_start = F.concat(*[F.expr(f"array_sort(filter(concat(base, __pii_add), x -> x.kind = '{kind}'), (x, y) -> x.s - y.s)") for kind in KINDS])
     out = out.withColumn("spans", F.when(F.size("__pii_add") > 0, by_start).otherwise(F.col("base")))
     return out.drop(*[c for c in out.columns if c.startswith("__pii_")])

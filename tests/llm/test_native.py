@@ -201,3 +201,11 @@ def test_schedule_completes_small_sources(spark):
     got = {r["number"]: (r["w"], r["n"], r["d"]) for r in rows.groupBy("number").agg(F.sum("words").alias("w"), F.count(F.lit(1)).alias("n"), F.count_distinct("turn", "block").alias("d")).collect()}
     assert [got[i][0] for i in range(len(sizes))] == takes
     assert all(n == d for _, n, d in got.values())
+
+
+def test_pii_dropped_span_drops_none(spark):
+    """A phone touched by a better card that an email drops stays."""
+    by_kind = {"start": 0.0, "trees": [(0, 0, 3.0, (0, 2, 2.0, 1.0))], "a": 1.0, "b": 0.0, "limits": dict.fromkeys(pii.KINDS, 0.5)}
+    rows = spark.createDataFrame([(1, "(21) 555-0100 1234.5678 at x dot org"), (2, "(21) 555-0100 1234.5678")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.redact(rows, model=by_kind).collect()}
+    assert got == {1: "[PHONE] [EMAIL]", 2: "(21) [CARD]"}
