@@ -123,14 +123,14 @@ def lines(light: DataFrame, id_col: str, order: int = 17) -> DataFrame:
     return run.join(offsets, ["number", "__mx_bucket"]).withColumn("start", F.col("__mx_run") + F.col("__mx_before")).drop("__mx_run", "__mx_before", "__mx_bucket", "__mx_key")
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", row: str | None = None) -> DataFrame:
     """(id, row, size, source_size, target, taken, turns): what the mix takes of each row.
 
     ``turns`` lists (turn, start, words): which of the row's words a turn takes.
-    ``row`` numbers the input's rows, so that repeated rows stay apart.
+    ``row`` numbers the input's rows, so that repeated rows stay apart; it may be a column of the input.
     """
     spark = df.sparkSession
-    light = df.select(id_col, F.col(source).alias("source"), n_words(F.col(text)).alias("size"), F.monotonically_increasing_id().alias("__mx_row"))
+    light = df.select(id_col, F.col(source).alias("source"), n_words(F.col(text)).alias("size"), (F.col(row) if row else F.monotonically_increasing_id()).alias("__mx_row"))
     light = Scratch(spark, "mix").put(light)
     plan = source_targets(light)
     total = sum(p["take"] for p in plan)
@@ -158,15 +158,14 @@ def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str =
 def apply_mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mixed corpus: a row for each turn that takes words of a document, with the columns given.
 
-    ``df`` is read twice and must give its rows in the same partitions each time, as a
-    stored table does; write anything else out first.
+    ``df`` is written out once with its rows' numbers, as two reads may number them differently.
 
     A document taken whole stays as it is; where a source's target cuts a document,
     the last row holds its first words, joined by single spaces.
     """
     columns = df.columns
-    numbered = df.withColumn("__mx_at", F.monotonically_increasing_id())
-    taken = mix(df, id_col, text, source).select(F.col("row").alias("__mx_at"), F.col("size").alias("__mx_size"), F.explode("turns").alias("__mx_turn")).filter("__mx_turn.words > 0")
+    numbered = Scratch(df.sparkSession, "mix-rows").put(df.withColumn("__mx_at", F.monotonically_increasing_id()))
+    taken = mix(numbered, id_col, text, source, row="__mx_at").select(F.col("row").alias("__mx_at"), F.col("size").alias("__mx_size"), F.explode("turns").alias("__mx_turn")).filter("__mx_turn.words > 0")
     joined = numbered.join(taken, "__mx_at")
     cut = F.expr(f"array_join(slice(filter(split({text}, r'[\\x20\\x09-\\x0D]+'), w -> w != ''), 1, cast(__mx_turn.words as int)), ' ')")
     out = joined.withColumn(text, F.when(F.col("__mx_turn.words") >= F.col("__mx_size"), F.col(text)).otherwise(cut))
