@@ -1,24 +1,34 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Each source's documents are shuffled by a seeded hash and laid end to end; the
-line of words is cut into blocks of equal numbers of words. Slots 0, 1, 2, ...
-are mapped by the golden-ratio sequence frac((n + 1) * phi) through the cumulative
-target weights to sources; the r-th slot of a source takes the r-th block of its
-line, starting again at the front after the last. A source stops at its target
-to the word: the last block is cut there.
+Each source's documents are shuffled by a seeded hash and laid end to end; the line of
+words is cut into blocks of equal numbers of words, the last one shorter. A source
+needs as many slots as its target takes blocks. The unit interval is cut into the
+sources' shares of slots, one after the other, and the points of a van der Corput
+sequence are mapped through these cumulative weights: point n is slot n of the mix, and
+the source in whose share it falls gives its next block. The first 2^k points of the
+sequence are the multiples of 2^-k, each once, so every source gets the slots it needs
+to the last, and any run of slots holds each source near its weight, however small it is.
+The r-th slot of a source takes the r-th block of its line, starting again at the front
+after the last block; a source stops at its target to the word, where its last block is
+cut. The mix is the blocks in the order of their slots: each document has the slot in
+which it first comes, and ``apply_mix`` writes its rows in that order.
 
 Scale: only (id, source, size) travels. Word offsets are a two-level prefix sum
-over hash buckets, so a hot source is spread over ``BUCKETS`` windows. The
-schedule has about ``SLOTS`` rows and a few a source whatever the input, which bounds its broadcast;
-the list of sources (two numbers each) is the only thing the driver holds.
+over hash buckets, so a hot source is spread over ``BUCKETS`` windows. There are at most
+``SLOTS`` blocks and three slots more a source; the table of slots is broadcast while that
+sum is under ``SMALL``, and joined by exchange beyond. The table of sources stays
+distributed: ranks by a sort and counts of its parts, targets by repeated sums of three
+groups; the driver holds three thresholds.
 
 Edge cases: null text has size 0; a null source is a source of its own, ordered
 last; repeated rows each take part; documents of size 0 are never taken; an empty
-table, or one without words, takes nothing; other columns are ignored.
+table, or one without words, takes nothing; other columns are ignored by ``mix`` and
+kept by ``apply_mix``, which uses columns that start with ``__mx_``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,11 +38,11 @@ from .common import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLOTS = 1 << 18
+SMALL = 1 << 20  # rows of a table that may be broadcast: slots or sources, a few numbers each
 BUCKETS = 4096
 SHARE = Fraction(3, 2)
 CAP = 2
 WEIGHTS = (5, 2, 1)
-PHI = "0.6180339887498949D"
 
 
 def n_words(text: Column) -> Column:
@@ -40,76 +50,81 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def water_fill(sizes: list[int], weights: list[int], share: Fraction = SHARE, cap: int = CAP) -> list[Fraction]:
-    """Targets in proportion to the weights, none above cap times its size."""
-    total = share * sum(sizes)
-    targets = [Fraction(0)] * len(sizes)
-    free, left = set(range(len(sizes))), total
-    while free:
-        unit = left / sum(weights[i] for i in free)
-        full = {i for i in free if weights[i] * unit > cap * sizes[i]}
-        if not full:
-            for i in free:
-                targets[i] = weights[i] * unit
-            break
-        for i in full:
-            targets[i] = Fraction(cap * sizes[i])
-            left -= targets[i]
-        free -= full
-    return targets
+def hinted(df: DataFrame, rows: int) -> DataFrame:
+    """A table to be joined, broadcast where its counted rows are few."""
+    return F.broadcast(df) if rows <= SMALL else df
+
 
+def ranked_sources(light: DataFrame, scratch: Scratch, weights: tuple[int, ...]) -> tuple[DataFrame, int]:
+    """(number, source, source_size, weight) of every source in the order of code points, null last; and how many."""
+    sums = light.groupBy("source").agg(F.sum("size").alias("source_size")).orderBy(F.col("source").asc_nulls_last())
+    stored = scratch.put(sums.withColumn("at", F.monotonically_increasing_id()))
+    part, inside = F.expr("shiftright(at, 33)"), F.expr("at & 8589934591L")
+    counts = stored.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    # One row a part of the sort, whatever the number of sources.
+    before = counts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    numbered = stored.withColumn("part", part).join(F.broadcast(before), "part").withColumn("number", inside + F.col("before"))
+    of = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("number") % len(weights)).cast("int") + 1)
+    out = scratch.put(numbered.select("number", "source", "source_size", of.alias("weight")))
+    return out, out.count()
 
-def source_targets(light: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> list[dict]:
-    """One entry per source in order: key, size, target and the words to take. The driver holds this list only."""
-    found = light.groupBy("source").agg(F.sum("size").alias("s")).collect()
-    found.sort(key=lambda r: (r["source"] is None, (r["source"] or "")))
-    sizes = [r["s"] for r in found]
-    targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(found))])
-    return [{"source": r["source"], "size": r["s"], "target": float(t), "take": min(CAP * r["s"], int(t + Fraction(1, 2)))} for r, t in zip(found, targets, strict=True)]
 
+def targets(sources: DataFrame, share: Fraction = SHARE, cap: int = CAP) -> DataFrame:
+    """Add ``target`` and ``take`` (its whole words): in proportion to the weights, none above cap times its size.
 
-def slots_needed(take: int, line: int, block: int) -> int:
-    """Slots that take so many words of a line: every pass ends in a block that may be short."""
-    if not line:
-        return 0
-    turns, rest = divmod(take, line)
-    return turns * -(-line // block) + -(-rest // block)
+    Each round sums the sources that are at their cap and those that are not, by weight, and
+    gives the latter the rest; sources below a threshold are at their cap. Exact in fractions.
+    """
+    total = share * (sources.agg(F.sum("source_size")).first()[0] or 0)
+    limits: dict[int, int] = {}  # weight -> the least size that is not at its cap
+    while True:
+        at_cap = F.lit(False)
+        for w, least in limits.items():
+            at_cap = F.when(F.col("weight") == w, F.col("source_size") < least).otherwise(at_cap)
+        rows = sources.withColumn("full", at_cap).groupBy("weight").agg(F.sum(F.when(F.col("full"), F.col("source_size")).otherwise(0)).alias("s"), F.count_if(~F.col("full")).alias("free")).collect()
+        open_ = sum(r["weight"] * r["free"] for r in rows)
+        unit = (total - cap * sum(r["s"] for r in rows)) / open_ if open_ else Fraction(0)
+        now = {r["weight"]: max(limits.get(r["weight"], 0), -(-r["weight"] * unit // cap)) for r in rows}
+        if not open_ or now == limits:
+            break
+        limits = now
+    target, take = (cap * F.col("source_size")).cast("double"), cap * F.col("source_size")
+    for w, least in limits.items():
+        free = (F.col("weight") == w) & (F.col("source_size") >= least)
+        target = F.when(free, float(w * unit)).otherwise(target)
+        take = F.when(free, F.least(F.lit(int(w * unit + Fraction(1, 2))), cap * F.col("source_size"))).otherwise(take)
+    return sources.withColumn("target", target).withColumn("take", take.cast("long"))
 
 
-def schedule(spark, plan: list[dict], block: int) -> DataFrame:
-    """(number, block, words): how much of each block the mix takes in all passes, from the slots.
+def van_der_corput(cell: Column, bits: int) -> Column:
+    """The number of the point that falls in a cell of width 2^-bits: the cell's bits, reversed."""
+    return F.conv(F.reverse(F.lpad(F.bin(cell), max(bits, 1), "0")), 2, 10).cast("long")
 
-    Slots are ranked per source in two levels: by chunk of slots, then within it. Ranks
-    that a source needs and the sequence has not reached come after the schedule.
+
+def schedule(plan: DataFrame, block: int, scratch: Scratch, order: Callable[[Column, int], Column] = van_der_corput) -> tuple[DataFrame, int]:
+    """(number, block, turn, slot, words) of each slot, and how many slots there are.
+
+    ``plan`` has number, take and line (the source's words). ``order`` numbers the cells of
+    the cumulative shares of slots.
     """
-    total = sum(p["take"] for p in plan)
-    bounds, at = [], 0
-    for p in plan:
-        at += p["take"]
-        bounds.append(at / total if total else 1.0)
-    needed = [slots_needed(p["take"], p["size"], block) for p in plan]
-    # The sequence gives each source its share of n slots up to a few; the surplus is cut by rank below, the rest is completed.
-    slots = int(sum(needed) * 1.01) + 64 * max(1, len(plan))
-    listed = ",".join(f"{b:.17g}D" for b in bounds[:-1])
-    point = F.expr(f"(id + 1) * {PHI} - floor((id + 1) * {PHI})")
-    numbered = spark.range(slots).select("id", point.alias("u"))
-    # Number of bounds at or below the point: the source's place.
-    number = F.expr(f"size(filter(array({listed}), b -> b <= u))") if listed else F.lit(0)
-    chunk = F.expr(f"id div {max(1, slots // 256)}")
-    marked = numbered.select("id", number.cast("int").alias("number"), chunk.alias("chunk"))
-    before = Window.partitionBy("number").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = marked.groupBy("number", "chunk").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    inside = Window.partitionBy("number", "chunk").orderBy("id")
-    ranked = marked.withColumn("r", F.row_number().over(inside) - 1).join(offsets, ["number", "chunk"]).withColumn("rank", F.col("r") + F.col("before"))
-    facts = spark.createDataFrame([(i, p["take"], p["size"], -(-p["size"] // block), n) for i, (p, n) in enumerate(zip(plan, needed, strict=True))], "number int, take long, line long, blocks long, needed long")
-    reached = marked.groupBy("number").agg(F.count(F.lit(1)).alias("reached"))
-    short = facts.join(F.broadcast(reached), "number", "left").withColumn("reached", F.coalesce("reached", F.lit(0))).filter("reached < needed")
-    missing = short.select("number", F.explode(F.expr("sequence(reached, needed - 1)")).alias("rank"))
-    ranked = ranked.select("number", "rank").unionByName(missing)
-    # Pass and block of each rank; the words it takes end at the line's end and at the target.
-    placed = ranked.join(F.broadcast(facts), "number").filter("blocks > 0").withColumn("turn", F.expr("rank div blocks")).withColumn("block", F.expr("rank % blocks"))
+    passes = F.expr(f"take div line * ceil(line / {block}D) + ceil((take % line) / {block}D)")
+    needs = scratch.put(plan.filter("line > 0 AND take > 0").select("number", "take", "line", passes.cast("long").alias("needed")))
+    # Cumulative shares over cells of neighbouring sources, so that no task orders all of them.
+    of = F.expr("number div 4096")
+    sums = needs.groupBy(of.alias("cell")).agg(F.sum("needed").alias("n"))
+    before = sums.select("cell", F.coalesce(F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    inside = F.coalesce(F.sum("needed").over(Window.partitionBy("cell").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = needs.withColumn("cell", of).withColumn("inside", inside).join(before, "cell").withColumn("start", F.col("inside") + F.col("before"))
+    slots = needs.agg(F.sum("needed")).first()[0] or 0
+    bits = max(1, (slots - 1).bit_length()) if slots else 1
+    cells = starts.select("number", "take", "line", F.explode(F.expr("sequence(start, start + needed - 1)")).alias("at"))
+    # A source's slots are at most SLOTS and two more, so a window of them is bounded.
+    rank = F.row_number().over(Window.partitionBy("number").orderBy("slot")).cast("long") - 1
+    placed = cells.withColumn("slot", order(F.col("at"), bits)).withColumn("rank", rank).withColumn("blocks", F.expr(f"cast(ceil(line / {block}D) as bigint)"))
+    placed = placed.withColumn("turn", F.expr("rank div blocks")).withColumn("block", F.expr("rank % blocks"))
+    # The words that a slot takes end at the line's end and at the target.
     words = F.expr(f"least({block}L, line - block * {block}L, take - turn * line - block * {block}L)")
-    return placed.withColumn("words", words).filter("words > 0").select("number", "block", "turn", "words")
+    return placed.select("number", "block", "turn", "slot", words.alias("words")), slots
 
 
 def lines(light: DataFrame, id_col: str, order: int = 17) -> DataFrame:
@@ -123,58 +138,68 @@ def lines(light: DataFrame, id_col: str, order: int = 17) -> DataFrame:
     return run.join(offsets, ["number", "__mx_bucket"]).withColumn("start", F.col("__mx_run") + F.col("__mx_before")).drop("__mx_run", "__mx_before", "__mx_bucket", "__mx_key")
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", row: str | None = None) -> DataFrame:
-    """(id, row, size, source_size, target, taken, turns): what the mix takes of each row.
+def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", row: str | None = None, order: Callable[[Column, int], Column] = van_der_corput) -> DataFrame:
+    """(row, id, size, source_size, target, taken, slot, turns): what the mix takes of each row.
 
-    ``turns`` lists (turn, start, words): which of the row's words a turn takes.
-    ``row`` numbers the input's rows, so that repeated rows stay apart; it may be a column of the input.
+    ``slot`` is where the row's words first come, null if nowhere. ``turns`` lists (turn, slot,
+    start, words): where a pass takes the row, and which of its words. ``row`` numbers the input's
+    rows, so that repeated rows stay apart; it may be a column of the input.
     """
     spark = df.sparkSession
-    light = df.select(id_col, F.col(source).alias("source"), n_words(F.col(text)).alias("size"), (F.col(row) if row else F.monotonically_increasing_id()).alias("__mx_row"))
-    light = Scratch(spark, "mix").put(light)
-    plan = source_targets(light)
-    total = sum(p["take"] for p in plan)
-    block = max(1, -(-total // SLOTS))
-    named = spark.createDataFrame([(i, p["source"], p["size"], p["target"]) for i, p in enumerate(plan)], "number int, __mx_source string, source_size long, target double")
-    known = light.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("__mx_source"))).drop("__mx_source")
+    scratch = Scratch(spark, "mix")
+    light = df.select(id_col, F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"), (F.col(row) if row else F.monotonically_increasing_id()).alias("__mx_row"))
+    light = scratch.put(light)
+    sources, n_sources = ranked_sources(light, scratch, WEIGHTS)
+    named = scratch.put(targets(sources))
+    block = max(1, -(-(named.agg(F.sum("take")).first()[0] or 0) // SLOTS))
+    slots, n_slots = schedule(named.select("number", "take", F.col("source_size").alias("line")), block, scratch, order)
+    facts = hinted(named.select("number", F.col("source").alias("__mx_source"), "source_size", "target"), n_sources)
+    known = light.join(facts, F.col("source").eqNullSafe(F.col("__mx_source"))).drop("__mx_source")
     placed = lines(known, id_col)
-    taken = schedule(spark, plan, block).groupBy("number", "block").agg(F.sort_array(F.collect_list(F.struct("turn", "words"))).alias("takes"))
+    taken = slots.groupBy("number", "block").agg(F.sort_array(F.collect_list(F.struct("turn", "slot", "words"))).alias("takes"))
     # A document's pieces, one per block that it touches; a document without words has none.
     piece = F.explode_outer(F.expr(f"CASE WHEN size > 0 THEN sequence(start div {block}, (start + size - 1) div {block}) END"))
     pieces = placed.withColumn("block", piece)
-    joined = pieces.join(F.broadcast(taken), ["number", "block"], "left")
+    joined = pieces.join(hinted(taken, n_slots), ["number", "block"], "left")
     # Of a block's first ``words`` words, those from the document: the overlap of [start, start + size) with the taken front.
     part = F.expr(
-        f"""transform(takes, t -> named_struct('turn', t.turn,
-            'start', greatest(start, block * {block}L) - start,
-            'words', greatest(0L, least(start + size, block * {block}L + t.words) - greatest(start, block * {block}L))))"""
+        f"""filter(transform(takes, t -> named_struct('turn', t.turn, 'slot', t.slot,
+            'words', greatest(0L, least(start + size, block * {block}L + t.words) - greatest(start, block * {block}L)))), p -> p.words > 0)"""
     )
     mine = joined.withColumn("part", part)
     out = mine.groupBy("__mx_row", id_col, "size", "source_size", "target").agg(F.flatten(F.collect_list("part")).alias("parts"))
-    turns = F.expr("transform(array_sort(array_distinct(transform(parts, p -> p.turn))), t -> named_struct('turn', t, 'start', 0L, 'words', aggregate(filter(parts, p -> p.turn = t), 0L, (a, p) -> a + p.words)))")
-    return out.select(F.col("__mx_row").alias("row"), id_col, "size", "source_size", "target", F.expr("aggregate(parts, 0L, (a, p) -> a + p.words)").alias("taken"), turns.alias("turns"))
+    turns = F.expr(
+        """transform(array_sort(array_distinct(transform(parts, p -> p.turn))), t -> named_struct('turn', t,
+            'slot', array_min(transform(filter(parts, p -> p.turn = t), p -> p.slot)), 'start', 0L,
+            'words', aggregate(filter(parts, p -> p.turn = t), 0L, (a, p) -> a + p.words)))"""
+    )
+    first = F.expr("array_min(transform(parts, p -> p.slot))")
+    return out.select(F.col("__mx_row").alias("row"), id_col, "size", "source_size", "target", F.expr("aggregate(parts, 0L, (a, p) -> a + p.words)").alias("taken"), first.alias("slot"), turns.alias("turns"))
 
 
-def apply_mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The mixed corpus: a row for each turn that takes words of a document, with the columns given.
+def apply_mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", order: Callable[[Column, int], Column] = van_der_corput, slot: bool = False) -> DataFrame:
+    """The mixed corpus: a row for each turn that takes words of a document, with the columns given, in the order of slots.
 
     ``df`` is written out once with its rows' numbers, as two reads may number them differently.
 
-    A document taken whole stays as it is; where a source's target cuts a document,
-    the last row holds its first words, joined by single spaces.
+    A document taken whole stays as it is, in the slot of its first block; where a source's
+    target cuts a document, the last row holds its first words, joined by single spaces. Rows
+    are range-partitioned and sorted by slot, so files written from it follow the schedule;
+    with ``slot`` the column ``mix_slot`` is added.
     """
     columns = df.columns
     numbered = Scratch(df.sparkSession, "mix-rows").put(df.withColumn("__mx_at", F.monotonically_increasing_id()))
-    taken = mix(numbered, id_col, text, source, row="__mx_at").select(F.col("row").alias("__mx_at"), F.col("size").alias("__mx_size"), F.explode("turns").alias("__mx_turn")).filter("__mx_turn.words > 0")
+    taken = mix(numbered, id_col, text, source, row="__mx_at", order=order).select(F.col("row").alias("__mx_at"), F.col("size").alias("__mx_size"), F.explode("turns").alias("__mx_turn"))
     joined = numbered.join(taken, "__mx_at")
-    cut = F.expr(f"array_join(slice(filter(split({text}, r'[\\x20\\x09-\\x0D]+'), w -> w != ''), 1, cast(__mx_turn.words as int)), ' ')")
+    cut = F.expr(f"array_join(slice(filter(split(`{text}`, r'[\\x20\\x09-\\x0D]+'), w -> w != ''), 1, cast(__mx_turn.words as int)), ' ')")
     out = joined.withColumn(text, F.when(F.col("__mx_turn.words") >= F.col("__mx_size"), F.col(text)).otherwise(cut))
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length(text).cast(df.schema["n_chars"].dataType))
-    return out.select(*columns)
+    out = out.withColumn("mix_slot", F.col("__mx_turn.slot")).repartitionByRange("mix_slot", "__mx_at").sortWithinPartitions("mix_slot", "__mx_at")
+    return out.select(*columns, *(["mix_slot"] if slot else []))
 
 
 def query(spark, sf_dir):
-    """op10: how many words of each document the mix takes."""
+    """op10: how many words of each document the mix takes, and the slot in which they first come."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "slot")
