@@ -4,19 +4,23 @@ A word is the mean of the embeddings of its character n-grams (hashed) and of
 itself, so an unseen misspelling shares vectors with what it resembles. The words
 of a window are averaged and go into a linear softmax over the two labels; a
 document's score is that of its highest window, so a long text does not hide a
-short insult. Embeddings and softmax are trained jointly in numpy (full-batch
-Adam; the gradient of a document goes through its windows' mean first, then
+short insult. Windows have ``WINDOW`` words and start every ``STRIDE`` words, the last
+one where it still is full, so a passage is not told by where it stands; a text of
+fewer words is one window. Embeddings and softmax are trained jointly in numpy
+(full-batch Adam; the gradient of a document goes through its windows' mean first, then
 through its highest window), and the score is calibrated on rows left out of the fit.
 
 Training takes a bounded sample of labelled rows (``MAX_TRAIN``, by a hash of the
-id, whole texts). Scoring is linear in the words, so a word's contribution is one
-number, kept in a bounded cache.
+id, whole texts), in one task of an executor, whose memory grows with the sample's
+words. The softmax's two logits are linear in the words and only their difference
+counts, so for scoring a word is one number, kept in a bounded cache.
 
 Edge cases: null and empty texts, and those of white space, get the share of label 1
 among the rows learned from, as there is nothing else to go by; without labelled
 rows of both labels every score is that share (0 without any); repeated
 rows each give a row; a document with several labels counts as its largest; other
-columns are kept by ``flag`` and ignored by ``score``.
+columns are kept by ``flag``, save one named ``toxicity``, which is replaced, and
+ignored by ``score``.
 """
 
 from __future__ import annotations
@@ -38,7 +42,7 @@ ship(__name__)
 
 BUCKETS, DIM = 1 << 16, 8
 MASK = BUCKETS - 1
-WINDOW = 10
+WINDOW, STRIDE = 10, 5
 MAX_TRAIN = 9_000
 STEPS, WARM = 90, 20
 BLOCK = 50_000  # words whose n-grams are summed at once
@@ -70,21 +74,32 @@ def segment_mean(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> n
     return np.add.reduceat(values, starts) / sizes
 
 
+def windows(n: int) -> np.ndarray:
+    """Starts of the windows of n words: every STRIDE words, and the last full one."""
+    last = max(0, n - WINDOW)
+    return np.append(np.arange(0, last, STRIDE), last)
+
+
 def fit(texts: list[str], labels: np.ndarray) -> dict:
-    """The word-gram scores (embeddings times the softmax's weights), the bias and the calibration."""
+    """Embeddings ``e`` of the n-grams' buckets, softmax weights ``v`` and biases ``b`` by label, and the calibration."""
     if len(labels) == 0 or labels.min() == labels.max():
-        return {"p": None, "share": float(labels.mean()) if len(labels) else 0.0}
+        return {"e": None, "share": float(labels.mean()) if len(labels) else 0.0}
     vocabulary: dict[str, int] = {}
-    tokens, window_size, window_doc = [], [], []
+    tokens, start, doc, at = [], [], [], 0
     for d, text in enumerate(texts):
         mine = [vocabulary.setdefault(w, len(vocabulary)) for w in words(text)]
-        for at in range(0, len(mine), WINDOW):
-            window_size.append(len(mine[at : at + WINDOW]))
-            window_doc.append(d)
+        if mine:
+            starts = windows(len(mine))
+            start.append(at + starts)
+            doc.append(np.full(len(starts), d))
         tokens.append(np.array(mine, np.int32))
-    tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.int32)
-    size, doc = np.array(window_size), np.array(window_doc)
-    start = np.concatenate([[0], np.cumsum(size)[:-1]])
+        at += len(mine)
+    sizes_of = np.array([len(t) for t in tokens])
+    full = sizes_of > 0  # documents with words
+    if not full.any():
+        return {"e": None, "share": float(labels.mean())}
+    tokens, start, doc = np.concatenate(tokens), np.concatenate(start), np.concatenate(doc)
+    size = np.minimum(WINDOW, sizes_of[doc])
     flat, sizes = array("i"), array("i")  # compact: the sample's vocabulary may have half a million words
     for w in vocabulary:
         before = len(flat)
@@ -94,30 +109,31 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
     gram, g_size = np.frombuffer(flat, np.int32), np.frombuffer(sizes, np.int32)
     g_start = np.concatenate([[0], np.cumsum(g_size)[:-1]])
     g_end = np.append(g_start, len(gram))
-    token_window = np.repeat(np.arange(len(size), dtype=np.int32), size)
     first = np.searchsorted(doc, np.arange(len(texts)))
     count = np.bincount(doc, minlength=len(texts))
-    full = count > 0  # documents with words
     held = np.arange(len(texts)) % 4 == 3
     used = full & ~held
     weight = np.where(labels == 1, 0.5 / max(1, (labels[used] == 1).sum()), 0.5 / max(1, (labels[used] == 0).sum())) * used
     rng = np.random.default_rng(7)
-    e, v, b = rng.normal(0, 0.1, (BUCKETS, DIM)), rng.normal(0, 1.0, DIM), np.zeros(1)
+    half = rng.normal(0, 0.5, DIM)
+    e, v, b = rng.normal(0, 0.1, (BUCKETS, DIM)), np.stack([-half, half], axis=1), np.zeros(2)
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (e, v, b)]
 
     def forward():
-        p, s = (e @ v).astype(np.float32), np.empty(len(g_size), np.float32)
+        """The windows' log odds: the difference of the two labels' logits."""
+        p, s = (e @ (v[:, 1] - v[:, 0])).astype(np.float32), np.empty(len(g_size), np.float32)
         for i in range(0, len(g_size), BLOCK):  # in blocks of words, to bound memory
             j = min(i + BLOCK, len(g_size))
             s[i:j] = segment_mean(p[gram[g_start[i] : g_end[j]]], g_start[i:j] - g_start[i], g_size[i:j])
-        return segment_mean(s[tokens], start, size) * WINDOW + b[0]
+        run = np.concatenate([[0.0], np.cumsum(s[tokens], dtype=np.float64)])
+        return (run[start + size] - run[start]) / size * WINDOW + (b[1] - b[0])
 
     def spread(dz: np.ndarray) -> np.ndarray:
-        """The gradient of the windows' logits, carried back to the n-grams."""
-        per_token, ds, dp = (dz * WINDOW / size).astype(np.float32), np.zeros(len(g_size)), np.zeros(BUCKETS)
-        for i in range(0, len(tokens), 8 * BLOCK):
-            part = slice(i, i + 8 * BLOCK)
-            ds += np.bincount(tokens[part], weights=per_token[token_window[part]], minlength=len(g_size))
+        """The gradient of the windows' log odds, carried back to the n-grams."""
+        each = dz * WINDOW / size
+        turn = np.bincount(start, weights=each, minlength=len(tokens) + 1) - np.bincount(start + size, weights=each, minlength=len(tokens) + 1)
+        per_token = np.cumsum(turn[:-1])
+        ds, dp = np.bincount(tokens, weights=per_token, minlength=len(g_size)), np.zeros(BUCKETS)
         ds /= g_size
         for i in range(0, len(g_size), BLOCK):
             j = min(i + BLOCK, len(g_size))
@@ -125,15 +141,13 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
         return dp
 
     def pooled(z: np.ndarray, warm: bool) -> tuple[np.ndarray, np.ndarray]:
-        """A document's logit and each window's share in it."""
-        out = np.full(len(texts), b[0])
-        share = np.zeros(len(z))
+        """A document's log odds and each window's share in it."""
+        out = np.full(len(texts), b[1] - b[0])
         if warm:
             out[full] = np.add.reduceat(z, first[full]) / count[full]
             share = 1.0 / count[doc]
         else:
-            top = np.maximum.reduceat(z, first[full])
-            out[full] = top
+            out[full] = np.maximum.reduceat(z, first[full])
             is_top = z == out[doc]
             share = is_top / np.bincount(doc, weights=is_top, minlength=len(texts))[doc]
         return out, share
@@ -141,11 +155,12 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
     for step in range(1, STEPS + 1):
         z = forward()
         out, share = pooled(z, step <= WARM)
-        error = (1 / (1 + np.exp(-np.clip(out, -40, 40))) - labels) * weight
+        error = (1 / (1 + np.exp(-np.clip(out, -40, 40))) - labels) * weight  # softmax of label 1 less the label
         dz = error[doc] * share
-        db = np.array([dz.sum()])
         dp = spread(dz)
-        gradients = (np.outer(dp, v) + DECAY * e, e.T @ dp + DECAY * v, db)
+        pull = e.T @ dp
+        sides = np.array([-1.0, 1.0])
+        gradients = (np.outer(dp, v[:, 1] - v[:, 0]) + DECAY * e, np.outer(pull, sides) + DECAY * v, dz.sum() * sides)
         for x, g, moments in zip((e, v, b), gradients, state, strict=True):
             moments[0] *= 0.9
             moments[0] += 0.1 * g
@@ -155,11 +170,19 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
     z, _ = pooled(forward(), False)
     tune = held & full if len(set(labels[held & full])) == 2 else full
     slope, offset = 1.0, 0.0
-    for _ in range(200):  # logistic calibration of the highest window's logit
+    for _ in range(200):  # logistic calibration of the highest window's log odds
         q = 1 / (1 + np.exp(-np.clip(slope * z[tune] + offset, -40, 40)))
         slope -= 0.05 * (((q - labels[tune]) * z[tune]).mean() + 0.001 * (slope - 1))
         offset -= 0.2 * (q - labels[tune]).mean()
-    return {"p": (e @ v).astype(np.float64), "b": float(b[0]), "slope": float(slope), "offset": float(offset), "share": float(labels.mean())}
+    return {"e": e, "v": v, "b": b, "slope": float(slope), "offset": float(offset), "share": float(labels.mean())}
+
+
+def compiled(model: dict) -> dict:
+    """The model for scoring: each bucket's part in the log odds, in place of its embedding."""
+    if model["e"] is None:
+        return {"p": None, "share": model["share"]}
+    v, b = model["v"], model["b"]
+    return {"p": model["e"] @ (v[:, 1] - v[:, 0]), "b": float(b[1] - b[0])} | {k: model[k] for k in ("slope", "offset", "share")}
 
 
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", most: int = MAX_TRAIN) -> dict:
@@ -171,11 +194,11 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = pd.concat([pd.DataFrame({"id": [], "t": [], "y": []}), *batches]).sort_values(["id", "t"])
-        yield pd.DataFrame({"model": [pickle.dumps(fit([t or "" for t in got["t"]], got["y"].to_numpy(dtype=np.float64)))]})
+        yield pd.DataFrame({"model": [pickle.dumps(compiled(fit([t or "" for t in got["t"]], got["y"].to_numpy(dtype=np.float64))))]})
 
     # The sample is bounded, so one task of an executor fits the model; the driver gets the weights only.
     got = rows.repartition(1).mapInPandas(run, "model binary").first()
-    return pickle.loads(got["model"]) if got else fit([], np.zeros(0))
+    return pickle.loads(got["model"]) if got else compiled(fit([], np.zeros(0)))
 
 
 class Scorer:
@@ -204,10 +227,9 @@ class Scorer:
         if self.model["p"] is None or not (mine := words(text)):
             return self.model["share"]
         get = self.cache.get
-        s = np.array([get(w) or self.word(w) for w in mine])
-        starts = np.arange(0, len(s), WINDOW)
-        sizes = np.minimum(WINDOW, len(s) - starts)
-        z = self.model["b"] + float((np.add.reduceat(s, starts) / sizes).max()) * WINDOW
+        run = np.cumsum([0.0] + [got if (got := get(w)) is not None else self.word(w) for w in mine])
+        starts, size = windows(len(mine)), min(WINDOW, len(mine))
+        z = self.model["b"] + float((run[starts + size] - run[starts]).max()) / size * WINDOW
         return float(1 / (1 + np.exp(-np.clip(self.model["slope"] * z + self.model["offset"], -40, 40))))
 
 
