@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ship
+from .common import Scratch, cut_below, hashed_key, ship
 
 ship(__name__)
 
@@ -271,10 +271,10 @@ class Codec:
 
 
 def frequent(df: DataFrame, text: str = "text", top: int = LEXICON) -> list[tuple[str, int]]:
-    """The most frequent chunks of all texts with their counts, at most ``top``.
+    """The most frequent chunks of all texts with their counts, ``top`` of them or all; ties by a hash of the chunk.
 
-    The histogram of counts gives the least count at which at most ``top`` chunks are
-    left; only those reach the driver.
+    Exact counts of ranges find the least count that fits, and the hash below which its
+    ties fit; only the chosen chunks reach the driver.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -291,13 +291,15 @@ def frequent(df: DataFrame, text: str = "text", top: int = LEXICON) -> list[tupl
     counted = df.select(F.col(text).alias("t")).mapInPandas(count, "chunk string, n long").filter(F.length("chunk") <= LONGEST)
     scratch = Scratch(df.sparkSession, "lexicon")
     table = scratch.put(counted.groupBy("chunk").agg(F.sum("n").alias("n")))
-    capped = F.least(F.col("n"), F.lit(1 << 16))
-    left, least = top, (1 << 16) + 1
-    for r in sorted(table.groupBy(capped.alias("m")).agg(F.count(F.lit(1)).alias("c")).collect(), key=lambda r: -r["m"]):
-        if r["c"] > left:
-            break
-        left, least = left - r["c"], r["m"]
-    out = [(r["chunk"], r["n"]) for r in table.filter(capped >= least).collect()]
+    most = table.agg(F.max("n")).first()[0] or 0
+    rank = F.lit(most) - F.col("n")
+    cut = cut_below(table, rank, top, most + 1)
+    out = table if cut is None else table.filter(rank < cut)
+    out = [(r["chunk"], r["n"]) for r in out.collect()]
+    if cut is not None and len(out) < top:
+        ties, key = table.filter(rank == cut), hashed_key(F.col("chunk"))
+        last = cut_below(ties, key, top - len(out))
+        out += [(r["chunk"], r["n"]) for r in (ties if last is None else ties.filter(key < last)).collect()]
     scratch.drop(table)
     return sorted(out, key=lambda r: (-r[1], r[0]))
 
