@@ -3,7 +3,7 @@
 1. toxicity: documents scored at the threshold or above go;
 2. near duplicates (five-word shingles, similarity 0.8): one document of each group stays;
 3. personal data: spans are replaced by their kind;
-4. mixing: documents are taken, once or twice or not at all, by the schedule's word counts;
+4. mixing: documents are taken, once or twice or not at all, by the schedule's word counts, in the order of its slots;
 5. BPE: every text is encoded; the result has token counts and digests.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the first four return
@@ -11,8 +11,8 @@ the columns of ``documents``. ``run`` writes each stage as Parquet to the shared
 folder and reads it back as the next one's input.
 
 Edge cases: null texts pass every stage as empty ones (mixing never takes them);
-repeated rows are treated each on their own except as duplicates; empty tables give
-empty results.
+repeated rows are treated each on their own except as duplicates; copies of a row share
+its id, so they stay or go together; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one of the smallest id."""
-    gone = neardup.near_duplicates(docs.select("doc_id", "text"), k=5).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = neardup.near_duplicates(docs.select("doc_id", "text"), k=5).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), "text_hash").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (neardup.text_hash(F.col("text")) == F.col("text_hash"))
+    return docs.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
