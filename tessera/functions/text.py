@@ -9,9 +9,12 @@ from . import constants as K
 
 WS = r"[\t\n\x0B\f\r\p{Z}\x{FEFF}]"
 NOT_WS = r"[^\t\n\x0B\f\r\p{Z}\x{FEFF}]"
+#: The characters of WS: a trim by a list is linear, where a pattern with two anchors is quadratic on inner runs.
+WS_CHARS = "\t\n\x0b\x0c\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 TAG = r"</?[0-9]+/?>"
-ONLY_NUM = r"^(?:[0-9.,:%+\-–—/()]|" + WS + ")+$"
-ONLY_TAGS = r"^(?:" + WS + "|" + TAG + ")*$"
+# One class a run: the JVM's matcher recurses for each turn of a group.
+ONLY_NUM = r"^[0-9.,:%+\-–—/()" + WS[1:] + "+$"
+ONLY_TAGS = "^" + WS + "*(?:" + TAG + WS + "*)*$"
 URLISH = r"^(?:[Hh][Tt][Tt][Pp][Ss]?://|//|[Mm][Aa][Ii][Ll][Tt][Oo]:|[Tt][Ee][Ll]:|#|/)" + NOT_WS + "*$"
 EMAIL = "^" + NOT_WS + "+@" + NOT_WS + r"+\." + NOT_WS + "+$"
 CODE = r"^[A-Z0-9.+-]{2,8}$"
@@ -26,7 +29,7 @@ def all_matches(text: Column, pattern: str) -> Column:
 
 def trim_ws(text: Column) -> Column:
     """Without white space (Unicode spaces and BOM included) at the ends."""
-    return F.regexp_replace(text, f"^{WS}+|{WS}+$", "")
+    return F.trim(text, F.lit(WS_CHARS))
 
 
 def content_hash(text: Column) -> Column:
@@ -217,6 +220,7 @@ def parse_errors(raw: Column) -> Column:
 
 
 def infer_provider(model: Column) -> Column:
+    """The provider of a model id, by these fixed patterns of names."""
     m = F.lower(model)
     return F.when(m.rlike(r"^gemini[-.]") | m.rlike(r"^(models/)?gemini"), "gemini").when(m.rlike(r"^claude[-.]"), "anthropic").when(m.rlike(r"^(gpt|o[1-9]|chatgpt|text-davinci)"), "openai")
 

@@ -14,6 +14,7 @@ import hashlib
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -60,12 +61,16 @@ class Builder(HTMLParser):
         self.root = Node("#root", 0, 0)
         self.stack = [self.root]
         self.tags: list[str] = []
-        self.dangling: list[str] = []  # formatting elements that a boundary closed without an end tag
+        self.open: Counter[str] = Counter()  # elements on the stack by name
+        self.dangling: Counter[str] = Counter()  # formatting elements that a boundary closed without an end tag
+        self.pieces: dict[Node, list[str]] = {}  # of text nodes, joined at the end
         self.feed(source)
         self.close()
         while len(self.stack) > 1:
             self._drop(len(source))
         self.root.inner = self.root.end = len(source)
+        for node, pieces in self.pieces.items():
+            node.text = "".join(pieces)
 
     def _at(self) -> int:
         line, column = self.getpos()
@@ -73,15 +78,16 @@ class Builder(HTMLParser):
 
     def _drop(self, at: int, closed_end: int | None = None) -> None:
         node = self.stack.pop()
+        self.open[node.name] -= 1
         node.inner, node.end, node.closed = at, closed_end if closed_end is not None else at, closed_end is not None
         if closed_end is None and node.name in _formatting:
-            self.dangling.append(node.name)
+            self.dangling[node.name] += 1
 
     def handle_starttag(self, tag, attrs):
         at = self._at()
         ends = ("p",) if tag in _ends_p else ()
         ends += _ends_own.get(tag, ())
-        for k in range(len(self.stack) - 1, 0, -1):
+        for k in range(len(self.stack) - 1, 0, -1) if any(self.open[e] for e in ends) else ():
             if self.stack[k].name in ends:
                 while len(self.stack) > k:
                     self._drop(at)
@@ -90,33 +96,34 @@ class Builder(HTMLParser):
                 break
         raw = self.get_starttag_text()
         node = Node(tag, at, at + len(raw), attrs)
-        node.lost = bool(self.dangling)
+        node.lost = self.dangling.total() > 0
         self.tags.append(tag)
         self.stack[-1].children.append(node)
         if tag not in _void and not raw.endswith("/>"):
             self.stack.append(node)
+            self.open[tag] += 1
 
     handle_startendtag = handle_starttag
 
     def handle_endtag(self, tag):
         at = self._at()
         end = self.source.find(">", at) + 1 or len(self.source)
-        names = [n.name for n in self.stack]
-        if tag in names[1:]:
+        if self.open[tag]:
             while self.stack[-1].name != tag:
                 self._drop(at)
             self._drop(at, end)
-        elif tag in self.dangling:
-            self.dangling.remove(tag)
+        elif self.dangling[tag]:
+            self.dangling[tag] -= 1
 
     def _text(self, raw: str, at: int) -> None:
         siblings = self.stack[-1].children
         if siblings and siblings[-1].text is not None and siblings[-1].end == at:
-            siblings[-1].text += raw
+            self.pieces[siblings[-1]].append(raw)
             siblings[-1].end += len(raw)
             return
         node = Node("#text", at, at)
-        node.text, node.end, node.lost = raw, at + len(raw), bool(self.dangling)
+        node.text, node.end, node.lost = "", at + len(raw), self.dangling.total() > 0
+        self.pieces[node] = [raw]
         siblings.append(node)
 
     def handle_data(self, data):
@@ -164,34 +171,35 @@ class Walker:
     def usable(self, node: Node) -> bool:
         return node.closed or self.recover
 
-    def tokens(self, node: Node, tags: list) -> str | None:
-        """A block's text with numbered tags; None if a child has no range."""
-        out = ""
-        for child in node.children:
-            if child.text is not None:
-                out += entities.unescape(child.text)
-                continue
-            number = len(tags)
-            whole = self.source[child.start : child.end]
-            if child.name in _void or child.name in _skip or not self.usable(child):
-                tags.append((whole if child.name in _skip or child.name in _void else self.source[child.start : child.open_end], None))
-                if child.name not in _void and child.name not in _skip:
+    def tokens(self, node: Node, tags: list) -> str:
+        """A block's text with numbered tags, which are added to ``tags``; nesting may be of any depth."""
+        out, todo = [], [*reversed(node.children)]
+        while todo:
+            child = todo.pop()
+            if isinstance(child, str):
+                out.append(child)
+            elif child.text is not None:
+                out.append(entities.unescape(child.text))
+            elif child.name in _void or child.name in _skip or not self.usable(child):
+                whole = child.name in _skip or child.name in _void
+                out.append(f"<{len(tags)}/>")
+                tags.append((self.source[child.start : child.end if whole else child.open_end], None))
+                if not whole:
                     self.lose(child)
-                out += f"<{number}/>"
-                continue
-            tags.append((self.source[child.start : child.open_end], self.source[child.inner : child.end]))
-            inner = self.tokens(child, tags)
-            if inner is None:
-                return None
-            out += f"<{number}>{inner}</{number}>"
-        return out
+            else:
+                out.append(f"<{len(tags)}>")
+                todo += [f"</{len(tags)}>", *reversed(child.children)]
+                tags.append((self.source[child.start : child.open_end], self.source[child.inner : child.end]))
+        return "".join(out)
 
     def lose(self, node: Node) -> None:
-        for child in node.children:
-            if child.text is not None and strip_ws(child.text):
+        todo = [*reversed(node.children)]
+        while todo:
+            child = todo.pop()
+            if child.text is None:
+                todo += reversed(child.children) if child.name not in _skip else ()
+            elif strip_ws(child.text):
                 self.lost.append(strip_ws(child.text))
-            elif child.text is None and child.name not in _skip:
-                self.lose(child)
 
     def attributes(self, node: Node) -> None:
         tag = self.source[node.start : node.open_end]
@@ -227,13 +235,19 @@ class Walker:
                 if coded == json.dumps(value)[1:-1]:
                     break
 
-    def walk(self, node: Node) -> None:
+    def walk(self, root: Node) -> None:
+        todo = [root]
+        while todo:
+            todo += reversed(self.visit(todo.pop()))
+
+    def visit(self, node: Node) -> list[Node]:
+        """Segments of an element itself; the elements to visit next."""
         if node.name == "script":
             if dict(node.attrs).get("type") == "application/ld+json":
                 self.structured(node)
-            return
+            return []
         if node.name in _skip:
-            return
+            return []
         if node.name != "#root":
             self.attributes(node)
         texts = [c for c in node.children if c.text is not None and strip_ws(c.text)]
@@ -244,54 +258,75 @@ class Walker:
         prose = [c for c in elements if c.name not in _skip]
         if texts and node.name != "#root":
             if all(c.name in _inline for c in prose):
+                if not self.usable(node) or (node.lost and not self.recover):
+                    self.lose(node)
+                    return []
                 tags: list = []
-                if self.usable(node) and not node.lost * (not self.recover) and (text := self.tokens(node, tags)) is not None:
-                    inner = self.source[node.open_end : node.inner]
-                    start = node.open_end + len(inner) - len(inner.lstrip(_ws))
-                    self.emit(start, start + len(strip_ws(inner)), text, "block", node.name, tags)
-                    for c in elements:
-                        self.inline_attributes(c)
-                    return
-                self.lose(node)
-                return
+                text = self.tokens(node, tags)
+                inner = self.source[node.open_end : node.inner]
+                start = node.open_end + len(inner) - len(inner.lstrip(_ws))
+                self.emit(start, start + len(strip_ws(inner)), text, "block", node.name, tags)
+                self.inline_attributes(elements)
+                return []
             for t in texts:
                 lead = len(t.text) - len(t.text.lstrip(_ws))
                 start = t.start + lead
                 self.emit(start, start + len(strip_ws(t.text)), entities.unescape(t.text), "text", node.name)
-        for c in elements:
-            self.walk(c)
+        return elements
 
-    def inline_attributes(self, node: Node) -> None:
-        # An inline tag is carried whole in the block's table; its attributes lie inside the block's range.
-        return
+    def inline_attributes(self, elements: list[Node]) -> None:
+        """Attributes of the elements inside a block, at any depth; where the block is a segment they overlap it."""
+        todo = [*reversed(elements)]
+        while todo:
+            node = todo.pop()
+            if node.text is None and node.name not in _skip:
+                self.attributes(node)
+                todo += reversed(node.children)
+
+
+def settle(found: list[dict]) -> tuple[list[dict], list[dict]]:
+    """Segments that overlap none before them, by start, and those that do; each in traversal order."""
+    taken, clashing = -1, set()
+    for i in sorted(range(len(found)), key=lambda i: (found[i]["start"], -found[i]["stop"])):
+        if found[i]["start"] < taken:
+            clashing.add(i)
+        else:
+            taken = found[i]["stop"]
+    return [s for i, s in enumerate(found) if i not in clashing], [found[i] for i in sorted(clashing)]
 
 
 SEGMENT = "page long, seg int, start int, stop int, raw string, text string, kind string, el string, tags array<struct<open:string,close:string>>, escaped boolean, hash string"
 
 
 def extract(pages: DataFrame, mode: str = "recover") -> DataFrame:
-    """Segments of pages (page, html): one row each, in traversal order, overlapping ones left out."""
+    """Segments of pages (page, html): one row each, in traversal order. What overlaps them is told by ``conflicts``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for page, source in zip(batch["page"], batch["html"], strict=True):
-                taken = -1
-                found = Walker(source or "", mode).segments
-                order = sorted(range(len(found)), key=lambda i: found[i]["start"])
-                keep = set()
-                for i in order:
-                    if found[i]["start"] >= taken:
-                        keep.add(i)
-                        taken = found[i]["stop"]
-                for seg, s in enumerate(x for i, x in enumerate(found) if i in keep):
+                for seg, s in enumerate(settle(Walker(source or "", mode).segments)[0]):
                     tags = [{"open": o, "close": c} for o, c in s["tags"]]
-                    rows.append((page, seg, s["start"], s["stop"], s["raw"], s["text"], s["kind"], s["el"], tags, s["escaped"], hashlib.sha1(s["text"].encode()).hexdigest()[:16]))
+                    rows.append((page, seg, s["start"], s["stop"], s["raw"], s["text"], s["kind"], s["el"], tags, s["escaped"], hashlib.sha1(s["text"].encode("utf-8", "replace")).hexdigest()[:16]))
             yield pd.DataFrame(rows, columns=["page", "seg", "start", "stop", "raw", "text", "kind", "el", "tags", "escaped", "hash"])
 
     return pages.select("page", "html").mapInPandas(run, SEGMENT)
 
 
+def conflicts(pages: DataFrame, mode: str = "recover") -> DataFrame:
+    """(page, start, stop, kind, el, text) of segments that cannot be spliced, as they overlap an earlier one.
+
+    These are attributes of elements inside a block, which the block's own translation carries unchanged.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(p, s["start"], s["stop"], s["kind"], s["el"], s["text"]) for p, h in zip(batch["page"], batch["html"], strict=True) for s in settle(Walker(h or "", mode).segments)[1]]
+            yield pd.DataFrame(rows, columns=["page", "start", "stop", "kind", "el", "text"])
+
+    return pages.select("page", "html").mapInPandas(run, "page long, start int, stop int, kind string, el string, text string")
+
+
 def holes(pages: DataFrame, mode: str = "strict") -> DataFrame:
     """(page, text) that a mode drops."""
 
