@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import importlib
 import json
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Any, Protocol
@@ -82,7 +83,7 @@ class Call:
     tokens_out: int = 0
 
 
-def call_model(translator: Translator, items: list[dict], lang: str, sleep: Callable[[float], None] = lambda s: None) -> Call:
+def call_model(translator: Translator, items: list[dict], lang: str, sleep: Callable[[float], None] = time.sleep) -> Call:
     """Send a batch; retry, step down the reply formats, drop a refused parameter once, and halve what cannot be read.
 
     Network errors and statuses 429 and 5xx are retried up to RETRIES times. A reply that
@@ -145,35 +146,49 @@ def pending(units: DataFrame, memory: DataFrame) -> DataFrame:
     return units.join(memory.select("hash"), "hash", "left_anti")
 
 
-def batches(units: DataFrame, size: int = K.BATCH) -> DataFrame:
+CELL = 100_000  # units that one task may sort
+
+
+def prefix_of(rows: int) -> int:
+    """Hex digits of the hash that cut so many units into cells of at most ``CELL`` on average; two at least."""
+    digits = 2
+    while rows > CELL * 16**digits:
+        digits += 1
+    return digits
+
+
+def batches(units: DataFrame, size: int = K.BATCH, prefix: int = 2) -> DataFrame:
     """Number units within hash prefixes and cut them into batches of a fixed size.
 
     The numbering restarts per prefix, so no task sorts all units; only the last batch
     of each prefix may be smaller.
     """
-    cell = F.left("hash", F.lit(2))
+    cell = F.left("hash", F.lit(prefix))
     rank = F.row_number().over(Window.partitionBy(cell).orderBy(F.desc("count"), "hash")) - 1
     return units.withColumn("slot", rank).withColumn("batch", F.concat(cell, F.lit("-"), F.floor(F.col("slot") / size).cast("string")))
 
 
-def translate(units: DataFrame, lang: str, translator: Translator | None = None, size: int = K.BATCH) -> DataFrame:
+def translate(units: DataFrame, lang: str, translator: Translator | None = None, size: int = K.BATCH, in_flight: int | None = None, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """(hash, text, out, problem, tokens_in, tokens_out) of each unit; rejected units are sent again alone.
 
-    Usage stands in the first row of a batch.
+    Usage stands in the first row of a batch. With ``in_flight`` batches are dealt to so many
+    partitions, which is the most calls that are open at once.
     """
     translator = translator or OfflineTranslator()
-    rows = batches(units, size).select("batch", "slot", "hash", "text", "el")
+    rows = batches(units, size, prefix_of(units.count())).select("batch", "slot", "hash", "text", "el")
+    if in_flight:
+        rows = rows.repartition(in_flight, "batch")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("slot").reset_index(drop=True)
         items = [{"id": i, "text": t, "el": e} for i, (t, e) in enumerate(zip(pdf["text"], pdf["el"], strict=True))]
-        got = call_model(translator, items, lang)
+        got = call_model(translator, items, lang, sleep)
         problems: list[str | None] = []
         for item in items:
             i = item["id"]
             bad = None if i in got.errors else check(item["text"], got.rows.get(i))
             if bad:  # once more, alone
-                again = call_model(translator, [item], lang)
+                again = call_model(translator, [item], lang, sleep)
                 got.tokens_in += again.tokens_in
                 got.tokens_out += again.tokens_out
                 bad = check(item["text"], again.rows.get(i))
