@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +11,16 @@ from ..functions import constants as K
 from ..functions import text as T
 
 
+MOST_LOCALES = 2000
+
+
 def missing_pages(slugs: DataFrame, locales: DataFrame, built: DataFrame) -> DataFrame:
-    """Expected (lang, slug) without a page. The list of locales is short and is broadcast."""
-    return slugs.join(F.broadcast(locales), F.lit(True)).join(built, ["lang", "slug"], "left_anti").select("lang", "slug")
+    """Expected (lang, slug) without a page. Locales are counted, and refused beyond ``MOST_LOCALES``: each is paired with every slug."""
+    names = [r[0] for r in locales.select("lang").distinct().limit(MOST_LOCALES + 1).collect()]
+    if len(names) > MOST_LOCALES:
+        raise ValueError(f"more than {MOST_LOCALES} locales")
+    every = F.explode(F.array(*[F.lit(n) for n in names]) if names else F.expr("cast(array() as array<string>)"))
+    return slugs.withColumn("lang", every).join(built, ["lang", "slug"], "left_anti").select("lang", "slug")
 
 
 def coverage(segments: DataFrame, memory: DataFrame) -> DataFrame:
@@ -49,6 +58,7 @@ def identity(pages: DataFrame, base: str) -> DataFrame:
     alternates = F.filter(F.transform(T.tags(html, "link"), T.tag_attributes), lambda a: (a["rel"] == "alternate") & a["hreflang"].isNotNull())
     href = lambda code: F.element_at(F.transform(F.filter(alternates, lambda a: a["hreflang"] == code), lambda a: a["href"]), -1)
     safe = lambda code: F.when(F.exists(alternates, lambda a: a["hreflang"] == code), href(code))
+    blocks = F.regexp_extract_all(html, F.lit(r'(?s)<script type="application/ld\+json">(.*?)</script>'), F.lit(1))
     checks = {
         "lang": ~T.tag_attributes(root)["lang"].eqNullSafe(lang),
         "dir": lang.isin(K.RTL) & ~T.tag_attributes(root)["dir"].eqNullSafe("rtl"),
@@ -57,21 +67,35 @@ def identity(pages: DataFrame, base: str) -> DataFrame:
         "x-default": ~safe(F.lit("x-default")).eqNullSafe(source),
         "en": ~safe(F.lit("en")).eqNullSafe(source),
         "self": ~safe(lang).eqNullSafe(own),
+        "jsonld-language": (lang != "en") & F.exists(blocks, lambda b: b.rlike(r'"inLanguage"\s*:\s*"en"')),
+        "jsonld-id": (lang != "en") & F.exists(blocks, lambda b: b.rlike(rf'"@id"\s*:\s*"{re.escape(base)}/#webpage"')),
     }
     found = F.filter(F.array(*[F.when(c, n) for n, c in checks.items()]), lambda x: x.isNotNull())
     return pages.withColumn("problem", F.explode(found))
 
 
-def never_offered(source_visible: DataFrame, visible: DataFrame, extracted: DataFrame) -> DataFrame:
-    """Visible translatable strings that a localized page shares with the source and that were never extracted.
+def offered(source_visible: DataFrame, visible: DataFrame, extracted: DataFrame) -> DataFrame:
+    """Visible translatable strings of localized pages: whether the source page shows them too, and whether they lie in its extracted units.
 
-    The test for having been extracted is by the whole string; a string inside a longer unit is
-    looked up by the pages' own units, not by all pairs.
+    A page's units are joined into one text without their numbered tags, and searched as such.
     """
-    same = visible.join(source_visible.select("slug", "text").distinct(), ["slug", "text"], "left_semi")
-    worth = same.filter(T.translatable(F.col("text"), least=3, tags=False, english=False))
-    inside = worth.join(extracted.select("slug", F.col("text").alias("unit")), "slug").filter(F.contains("unit", "text")).select("slug", "text").distinct()
-    return worth.join(inside, ["slug", "text"], "left_anti").distinct()
+    rule = lambda df: df.filter(T.translatable(F.col("text"), least=3, tags=False, english=False))
+    shown = rule(source_visible.select("slug", "text")).distinct().withColumn("same", F.lit(True))
+    whole = extracted.groupBy("slug").agg(F.array_join(F.collect_list(T.strip_placeholders(F.col("text"))), "  ").alias("units"))
+    rows = rule(visible).join(shown, ["slug", "text"], "left").join(whole, "slug", "left")
+    return rows.withColumn("same", F.coalesce("same", F.lit(False))).withColumn("inside", F.coalesce(F.contains("units", "text"), F.lit(False))).drop("units")
+
+
+def never_offered(source_visible: DataFrame, visible: DataFrame, extracted: DataFrame) -> DataFrame:
+    """Strings that a localized page shares with its source and that were never extracted from it."""
+    return offered(source_visible, visible, extracted).filter("same AND NOT inside").drop("same", "inside").distinct()
+
+
+def hole_rate(source_visible: DataFrame, visible: DataFrame, extracted: DataFrame) -> DataFrame:
+    """Per language: strings never offered, those unchanged but offered, all of them, and the former's share in percent (0 without strings)."""
+    rows = offered(source_visible, visible, extracted)
+    counted = rows.groupBy("lang").agg(F.count_if(F.expr("same AND NOT inside")).alias("holes"), F.count_if(F.expr("same AND inside")).alias("kept"), F.count(F.lit(1)).alias("total"))
+    return counted.withColumn("percent", F.when(F.col("total") > 0, F.round(100 * F.col("holes") / F.col("total"), 6)).otherwise(0.0))
 
 
 def summary(**gates: DataFrame) -> DataFrame:

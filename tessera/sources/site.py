@@ -5,9 +5,14 @@ from __future__ import annotations
 import json
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workers import ship
+
+ship(__name__)
+
 #: Markers of client-side hydration and what they mean.
 HYDRATION = {
     "astro-island": "Astro island", "__NEXT_DATA__": "Next.js hydration payload", "__NUXT__": "Nuxt hydration payload",
@@ -116,3 +121,83 @@ def scorecard(report: list[dict], worst: int = 8) -> str:
         if r.get("worst"):
             out += ["", f"## {r['lang']}", *[f"- {w}" for w in str(r["worst"]).split(",")[:worst]]]
     return "\n".join(out) + "\n"
+
+
+SEGMENT = "start: int, stop: int, kind: string, hash: string, tags: array<struct<open:string,close:string>>"
+
+
+def write_segments(segments: DataFrame, path: str) -> None:
+    """Segments (page, start, stop, kind, hash, tags) as JSON lines, one a page."""
+    rows = segments.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "kind", "hash", "tags"))).alias("segments"))
+    rows.write.mode("overwrite").json(path)
+
+
+def read_segments(spark: SparkSession, path: str) -> DataFrame:
+    """The segments of files of pages, a row each; pages without any give none."""
+    read = spark.read.schema(f"page string, segments array<struct<{SEGMENT}>>").json(path)
+    return read.select("page", F.explode("segments").alias("s")).select("page", "s.*")
+
+
+def page_file(lang: Column, slug: Column) -> Column:
+    """Where a built page lies: lang/slug/index.html, the root as lang/index.html."""
+    bare = F.when(F.coalesce(slug, F.lit("")).isin("", "index"), F.lit("")).otherwise(F.concat(slug, F.lit("/")))
+    return F.concat(lang, F.lit("/"), bare, F.lit("index.html"))
+
+
+def write_pages(pages: DataFrame, root: str) -> DataFrame:
+    """Write built pages (lang, slug, html) as HTML files; gives (path, size) of each file.
+
+    The folders of the languages present are deleted first, so that no page stays of a slug
+    that is gone. Tasks write by any file system that pyarrow knows, each file under a name of
+    the attempt and then moved, so a task that is run again leaves whole files.
+    """
+    import os
+
+    from pyarrow import fs
+
+    rows = pages.select("lang", page_file(F.col("lang"), F.col("slug")).alias("path"), "html")
+    bad = rows.filter(F.col("lang").isNull() | F.col("lang").rlike(r"[/\\]|^\.*$") | F.col("path").rlike(r"(^|/)\.\.(/|$)"))
+    if not bad.isEmpty():
+        raise ValueError("a page's language or slug leaves its folder")
+    root = root if "://" in root else os.path.abspath(root)
+    store, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+    for r in rows.select("lang").distinct().collect():
+        if store.get_file_info(f"{base}/{r['lang']}").type == fs.FileType.Directory:
+            store.delete_dir(f"{base}/{r['lang']}")
+
+    def run(batches):
+        import uuid
+
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        for batch in batches:
+            sizes = []
+            for path, html in zip(batch["path"], batch["html"], strict=True):
+                body, target = (html or "").encode("utf-8", "replace"), f"{base}/{path}"
+                store.create_dir(target.rsplit("/", 1)[0])
+                draft = f"{target}.{uuid.uuid4().hex}"
+                with store.open_output_stream(draft) as out:
+                    out.write(body)
+                store.move(draft, target)
+                sizes.append(len(body))
+            yield pd.DataFrame({"path": batch["path"], "size": sizes})
+
+    # The list of files is a table too, beside the pages.
+    listed = rows.select("path", "html").mapInPandas(run, "path string, size long")
+    listed.write.mode("overwrite").json(f"{root}/.built")
+    return pages.sparkSession.read.schema("path string, size long").json(f"{root}/.built")
+
+
+def lookup_key(names: list[str], env: dict[str, str], env_file: str | None = None, optional: bool = False) -> str | None:
+    """The first name that the environment, or else the text of an env file, has a value for; an error if a key is needed."""
+    for name in names:
+        if env.get(name):
+            return env[name]
+    for name in names:
+        found = re.search(rf"^{re.escape(name)}=(.*)$", env_file or "", re.M)
+        if found:
+            return found[1].strip()
+    if optional:
+        return None
+    raise LookupError(f"set one of {', '.join(names)}")
