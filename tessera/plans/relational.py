@@ -8,9 +8,9 @@ from pyspark.sql.window import Window
 from ..functions import constants as K
 from ..functions import text as T
 from ..operators import glossary, lines, quality, translate
-from ..session import table
+from ..session import stored, table
 from . import sql as S
-from .catalog import query
+from .catalog import ORACLES, query  # noqa: F401
 
 WITH = f"WITH {S.LINES}, {S.UNITS}"
 #: A memory for tests: a unit is translated in a language unless its hash ends in 0 to 3.
@@ -32,8 +32,8 @@ def deduped(spark, sf):
     return lines.dedup(units(spark, sf), kind, el)
 
 
-def memory(spark, sf):
-    rows = units(spark, sf).filter(~F.right("hash", F.lit(1)).isin("0", "1", "2", "3"))
+def memory(spark, sf, rows=None):
+    rows = (units(spark, sf) if rows is None else rows).filter(~F.right("hash", F.lit(1)).isin("0", "1", "2", "3"))
     return rows.groupBy("lang", "hash").agg(F.min(F.concat("lang", F.lit(": "), "text")).alias("out"))
 
 
@@ -65,9 +65,12 @@ def units_by_kind(spark, sf):
 
 @query("extract_summary", f"{WITH}, {DEDUP} SELECT (SELECT count(DISTINCT doc_id) FROM units) AS pages, (SELECT count(*) FROM units) AS segments, (SELECT count(*) FROM deduped) AS units, (SELECT CAST(sum({S.word_count('text')}) AS BIGINT) FROM deduped) AS words")
 def extract_summary(spark, sf):
-    per_unit = units(spark, sf).groupBy("hash").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("n"))
-    totals = per_unit.agg(F.sum("n").alias("segments"), F.count(F.lit(1)).alias("units"), F.sum(T.word_count(F.col("text"))).alias("words"))
-    pages = units(spark, sf).agg(F.count_distinct("doc_id").alias("pages"))
+    # A page's segments of one text travel as one row.
+    seen = units(spark, sf).groupBy("doc_id", "hash").agg(F.count(F.lit(1)).alias("n"), F.min(T.word_count(F.col("text"))).alias("w"))
+    seen = stored(seen)
+    per_unit = seen.groupBy("hash").agg(F.sum("n").alias("n"), F.min("w").alias("w"))
+    totals = per_unit.agg(F.sum("n").alias("segments"), F.count(F.lit(1)).alias("units"), F.sum("w").alias("words"))
+    pages = seen.agg(F.count_distinct("doc_id").alias("pages"))
     return totals.join(F.broadcast(pages), F.lit(True)).select("pages", "segments", "units", "words")
 
 
@@ -87,12 +90,14 @@ def word_volume(spark, sf):
 def coverage(spark, sf):
     from ..operators import gates
 
-    return gates.coverage(units(spark, sf), memory(spark, sf))
+    rows = stored(units(spark, sf).select("lang", "hash"))
+    return gates.coverage(rows, memory(spark, sf, rows.withColumn("text", F.lit(""))))
 
 
 @query("churn", f"{WITH}, {MEMORY}, u AS (SELECT DISTINCT lang, hash FROM units) SELECT u.lang, count(*) AS units, count(*) - count(m.hash) AS pending, round(100.0 * (count(*) - count(m.hash)) / count(*), 6) AS percent, 100.0 * (count(*) - count(m.hash)) / count(*) >= 15 AS hint FROM u LEFT JOIN memory m USING (lang, hash) GROUP BY u.lang")
 def churn(spark, sf):
-    rows = units(spark, sf).select("lang", "hash").distinct().join(memory(spark, sf), ["lang", "hash"], "left")
+    known = stored(units(spark, sf).select("lang", "hash").distinct())
+    rows = known.join(memory(spark, sf, known.withColumn("text", F.lit(""))), ["lang", "hash"], "left")
     counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("units"), F.count(F.when(F.col("out").isNull(), 1)).alias("pending"))
     percent = 100 * F.col("pending") / F.col("units")
     return counted.withColumn("percent", F.round(percent, 6)).withColumn("hint", percent >= K.CHURN_HINT)
@@ -100,7 +105,8 @@ def churn(spark, sf):
 
 @query("build_report", f"{WITH}, {MEMORY} SELECT u.lang, count(m.hash) AS replaced, count(*) - count(m.hash) AS untranslated FROM units u LEFT JOIN memory m USING (lang, hash) GROUP BY u.lang")
 def build_report(spark, sf):
-    joined = units(spark, sf).join(memory(spark, sf), ["lang", "hash"], "left")
+    rows = stored(units(spark, sf).select("lang", "hash"))
+    joined = rows.join(memory(spark, sf, rows.withColumn("text", F.lit(""))), ["lang", "hash"], "left")
     return joined.groupBy("lang").agg(F.count("out").alias("replaced"), F.count(F.when(F.col("out").isNull(), 1)).alias("untranslated"))
 
 
@@ -205,12 +211,16 @@ def terms_for_batch(spark, sf):
     return hit.groupBy(F.left("hash", F.lit(1)).alias("batch"), "source").agg(F.count(F.lit(1)).alias("units"))
 
 
+def violations(spark, sf):
+    return glossary.violations(talks(spark, sf), terms(spark), "xx")
+
+
 VIOLATED = "(CASE WHEN t.match_case THEN {0} ELSE {1} END) AND CASE WHEN t.rule = 'keep' THEN NOT contains(u.dst, t.source) ELSE t.target IS NOT NULL AND NOT contains(lower(u.dst), lower(t.target)) END".format(S.term("u.src", "t.source"), S.term("lower(u.src)", "lower(t.source)"))
 
 
 @query("glossary_violations", f"WITH {S.PAIRS}, {TERMS_SQL} SELECT t.source, count(*) AS violations FROM pairs u, terms t WHERE {VIOLATED} GROUP BY t.source")
 def glossary_violations(spark, sf):
-    return glossary.violations(talks(spark, sf), terms(spark), "xx").groupBy("source").agg(F.count(F.lit(1)).alias("violations"))
+    return violations(spark, sf).groupBy("source").agg(F.count(F.lit(1)).alias("violations"))
 
 
 @query("effective_glossary", "WITH e(source, rule) AS (VALUES ('PDF', 'translate'), ('Acme Cloud', 'keep'), ('Acme', 'keep')), i AS (SELECT unnest(" + S.array(K.TECH_TOKENS) + ") AS source) SELECT source, rule FROM e UNION ALL SELECT source, 'keep' FROM i WHERE source NOT IN (SELECT source FROM e)")
@@ -263,7 +273,7 @@ def page_pair(spark, sf):
 @query("units_ranked", f"{WITH}, f AS (SELECT hash, count(*) AS count, min((doc_id, seg)) AS seen FROM units GROUP BY hash) SELECT hash, count, row_number() OVER (ORDER BY count DESC, seen, hash) AS place FROM f")
 def units_ranked(spark, sf):
     """Places by count, then first seen."""
-    rows = deduped(spark, sf).select("hash", "count", F.col("first_seen.doc_id").alias("d"), F.col("first_seen.seg").alias("s"))
+    rows = stored(deduped(spark, sf).select("hash", "count", F.col("first_seen.doc_id").alias("d"), F.col("first_seen.seg").alias("s")))
     ranked = quality.two_level_rank(rows.withColumn("cell", F.floor(F.col("d") / 65_536)), "count", "cell", "d", "s", "hash")
     return ranked.select("hash", "count", (F.col("rank") + 1).alias("place"))
 
@@ -280,12 +290,12 @@ def batches(spark, sf):
 
 @query("stratum_quotas", f"{WITH}, {DEDUP}, r AS (SELECT row_number() OVER (ORDER BY count DESC, left(hash, 2), hash) - 1 AS p, count(*) OVER () AS n FROM deduped), s AS (SELECT CAST(least(p // CAST(ceil(n / 3.0) AS BIGINT), 2) AS INTEGER) AS stratum FROM r) SELECT stratum, count(*) AS size, CAST(least(count(*), greatest(1, floor(CASE WHEN stratum = 0 THEN 0.5 ELSE 0.25 END * 100 + 0.5))) AS BIGINT) AS quota FROM s GROUP BY stratum")
 def stratum_quotas(spark, sf):
-    return quality.quotas(deduped(spark, sf))
+    return quality.quotas(stored(deduped(spark, sf).select("hash", "count")))
 
 
 @query("stratified_sample")
 def stratified_sample(spark, sf):
-    return quality.stratified_sample(deduped(spark, sf)).select("hash", "count", "stratum", "rank")
+    return quality.stratified_sample(stored(deduped(spark, sf).select("hash", "count"))).select("hash", "count", "stratum", "rank")
 
 
 @query("worst_units", f"WITH {JUDGED}, r AS (SELECT lang, doc_id, {WEIGHT} AS w, row_number() OVER (PARTITION BY lang ORDER BY {WEIGHT} DESC, doc_id) AS rank FROM judged) SELECT lang, doc_id, w, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 15 AND w > 0")
@@ -402,6 +412,11 @@ def numeric_drift(spark, sf):
     return gates.numeric_drift(talks(spark, sf).withColumn("locale", F.col("conv_id") % 3), "locale")
 
 
+def drifted(spark, sf):
+    """Pairs whose numbers differ."""
+    return talks(spark, sf).filter(T.numerals(F.col("src")) != T.numerals(F.col("dst")))
+
+
 @query("retry_set", f"WITH {S.PAIRS} SELECT conv_id, turn FROM pairs WHERE coalesce({S.trim('dst')}, '') = '' OR {TAGS}")
 def retry_set(spark, sf):
     return talks(spark, sf).filter(T.problem(F.col("src"), F.col("dst")).isNotNull()).select("conv_id", "turn")
@@ -434,4 +449,42 @@ def tqa_report(spark, sf):
 @query("translate_units")
 def translate_units(spark, sf):
     """All pending units through the offline translator, validated."""
-    return translate.translate(deduped(spark, sf), "xx")
+    return translate.translate(stored(deduped(spark, sf).select("hash", "text", "count", "el")), "xx")
+
+
+@query("judge_units", f"""WITH {S.PAIRS} SELECT sha1(conv_id || ':' || turn) AS hash, {S.word_count('src')} AS words, false AS unreadable, CASE WHEN src = dst THEN 1 ELSE 0 END AS errors FROM pairs""")
+def judge_units(spark, sf):
+    """Turns and their answers through the offline judge, which finds an error where the two are equal."""
+    from ..operators import judge
+
+    rows = talks(spark, sf).select(F.sha1(F.concat("conv_id", F.lit(":"), "turn")).alias("hash"), F.col("src").alias("source"), F.col("dst").alias("target"), F.lit(1).alias("count"))
+    return judge.judge(rows, "xx").select("hash", "words", "unreadable", F.size("errors").alias("errors"))
+
+
+# --- gates over documents' lines ------------------------------------------------------------------------
+
+LINE_RULE = S.translatable("text", least=3, tags=False, english=False)
+OFFERED = f"""WITH {S.LINES}, l AS (SELECT doc_id % 20 AS slug, lang, seg, {S.trim("text")} AS text FROM segments), en AS (SELECT DISTINCT slug, text FROM l WHERE lang = 'en' AND {LINE_RULE}),
+  v AS (SELECT * FROM l WHERE lang <> 'en' AND {LINE_RULE}), b AS (SELECT slug, string_agg({S.strip("text")}, '  ') AS units FROM l WHERE lang = 'en' AND seg % 2 = 0 GROUP BY slug),
+  o AS (SELECT v.slug, v.lang, v.text, en.text IS NOT NULL AS same, coalesce(contains(b.units, v.text), false) AS inside FROM v LEFT JOIN en USING (slug, text) LEFT JOIN b USING (slug))"""
+
+
+def lines_offered(spark, sf):
+    """Lines as visible strings, of which every second one was extracted; ids modulo 20 are pages."""
+    rows = lines.segments(table(spark, sf, "documents")).select((F.col("doc_id") % 20).alias("slug"), "lang", "seg", T.trim_ws(F.col("text")).alias("text"))
+    source = rows.filter("lang = 'en'")
+    return source.select("slug", "text"), rows.filter("lang != 'en'").select("slug", "lang", "text"), source.filter("seg % 2 = 0").select("slug", "text")
+
+
+@query("never_offered", f"{OFFERED} SELECT DISTINCT slug, lang, text FROM o WHERE same AND NOT inside")
+def never_offered(spark, sf):
+    from ..operators import gates
+
+    return gates.never_offered(*lines_offered(spark, sf)).select("slug", "lang", "text")
+
+
+@query("hole_rate", f"{OFFERED} SELECT lang, count(*) FILTER (same AND NOT inside) AS holes, count(*) FILTER (same AND inside) AS kept, count(*) AS total, round(100.0 * count(*) FILTER (same AND NOT inside) / count(*), 6) AS percent FROM o GROUP BY lang")
+def hole_rate(spark, sf):
+    from ..operators import gates
+
+    return gates.hole_rate(*lines_offered(spark, sf)).select("lang", "holes", "kept", "total", "percent")

@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators import audit, build, gates, html, lines
 from ..session import table
 from ..sources import site as sources
+from . import relational
 from . import sql as S
 from .catalog import query
 
@@ -168,19 +169,48 @@ def gate_structure(spark, sf):
 @query("extraction_holes")
 def extraction_holes(spark, sf):
     pages = site(spark, sf).withColumn("page", F.col("page_id"))
-    rows = html.facts(pages.select("page", "html")).join(pages.select("page", "lang"), "page").select(F.lit("all").alias("slug"), "lang", F.explode("visible").alias("text"))
-    units = html.extract(pages.select("page", "html"), mode="strict").select(F.lit("all").alias("slug"), "text").distinct()
-    source = rows.filter("lang = 'en'").select("slug", "text")
-    shown = rows.filter("lang != 'en'").select("slug", "text").distinct()
-    worth = shown.join(source.distinct(), ["slug", "text"], "left_semi").filter(T.translatable(F.col("text"), least=3, tags=False, english=False))
-    return worth.join(units, ["slug", "text"], "left_anti").select("text").distinct()
+    # Pages of one bucket stand for one page and its translations.
+    pages = pages.withColumn("slug", F.col("page") % 25)
+    rows = html.facts(pages.select("page", "html")).join(pages.select("page", "slug", "lang"), "page").select("slug", "lang", F.explode("visible").alias("text"))
+    units = html.extract(pages.filter("lang = 'en'").select("page", "html"), mode="strict").join(pages.select("page", "slug"), "page").select("slug", "text")
+    return gates.never_offered(rows.filter("lang = 'en'").select("slug", "text"), rows.filter("lang != 'en'"), units).select("slug", "lang", "text")
 
 
-@query("gate_summary", f"WITH {S.PAGES}, k AS (SELECT DISTINCT lang, slug FROM site) SELECT 'url-parity' AS gate, (SELECT count(*) FROM (SELECT l.lang, s.slug FROM (SELECT DISTINCT lang FROM k) l, (SELECT DISTINCT slug FROM k) s EXCEPT SELECT lang, slug FROM k)) AS failures, false AS passed UNION ALL SELECT 'placeholder-leak', (SELECT count(*) FROM pages WHERE regexp_matches(regexp_replace(html, '(?s)<script[^>]*>.*?</script>', '', 'g'), '</?[0-9]+/?>')), true")
+@query("html_conflicts")
+def html_conflicts(spark, sf):
+    """Attributes inside blocks, which cannot be spliced beside the block."""
+    return html.conflicts(table(spark, sf, "pages").select(F.col("page_id").alias("page"), "html"))
+
+
+GATES = f"""WITH {S.PAGES}, k AS (SELECT DISTINCT lang, slug FROM site), t AS (SELECT page_id, page_id % 25 AS bucket, lang, {{tags}} AS tags FROM site), s AS (SELECT bucket, min_by(tags, page_id) AS source_tags FROM t WHERE lang = 'en' GROUP BY bucket),
+  g(gate, failures) AS (
+  SELECT 'url-parity', (SELECT count(*) FROM (SELECT l.lang, s.slug FROM (SELECT DISTINCT lang FROM k) l, (SELECT DISTINCT slug FROM k) s EXCEPT SELECT lang, slug FROM k))
+  UNION ALL SELECT 'structure', (SELECT count(*) FROM t JOIN s USING (bucket) WHERE lang <> 'en' AND tags <> source_tags)
+  UNION ALL SELECT 'placeholder-leak', (SELECT count(*) FROM pages WHERE regexp_matches(regexp_replace(html, '(?s)<script[^>]*>.*?</script>', '', 'g'), '</?[0-9]+/?>'))
+  UNION ALL SELECT 'identity', (SELECT count(*) * 4 + count(*) FILTER (regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) <> lang) FROM site)
+  UNION ALL SELECT 'coverage', (SELECT count(*) FROM ({{coverage}}) WHERE fails)
+  UNION ALL SELECT 'never-offered', (SELECT count(*) FROM ({{offered}}))
+  UNION ALL SELECT 'glossary', (SELECT coalesce(CAST(sum(violations) AS BIGINT), 0) FROM ({{glossary}}))
+  UNION ALL SELECT 'numeric-drift', (SELECT CAST(sum(drifted) AS BIGINT) FROM ({{drift}})))
+  SELECT gate, failures, failures = 0 AS passed FROM g"""
+
+
+@query("gate_summary", GATES.format(tags=TAGS_OF, coverage=relational.ORACLES["coverage"], offered=relational.ORACLES["never_offered"], glossary=relational.ORACLES["glossary_violations"], drift=relational.ORACLES["numeric_drift"]))
 def gate_summary(spark, sf):
+    """All eight gates: those of pages over pages, those of units over documents and conversations."""
     built = site(spark, sf).select("lang", "slug").distinct()
-    parity = gates.missing_pages(built.select("slug").distinct(), built.select("lang").distinct(), built)
-    return gates.summary(**{"url-parity": parity, "placeholder-leak": gates.placeholder_leaks(table(spark, sf, "pages"))})
+    return gates.summary(
+        **{
+            "url-parity": gates.missing_pages(built.select("slug").distinct(), built.select("lang").distinct(), built),
+            "structure": gates.structure(_pairs_of_pages(spark, sf)),
+            "placeholder-leak": gates.placeholder_leaks(table(spark, sf, "pages")),
+            "identity": gates.identity(site(spark, sf), BASE),
+            "coverage": relational.coverage(spark, sf).filter("fails"),
+            "never-offered": relational.never_offered(spark, sf),
+            "glossary": relational.violations(spark, sf),
+            "numeric-drift": relational.drifted(spark, sf),
+        }
+    )
 
 
 # --- audit -----------------------------------------------------------------------------------------
@@ -248,7 +278,7 @@ def format_text(spark, sf):
     """Order totals written in English, formatted for four locales."""
     text = F.concat(F.lit("Total $"), F.format_number("o_totalprice", 2), F.lit(" (12.5% of 1,234)"))
     rows = table(spark, sf, "orders").select("o_orderkey", text.alias("text"), F.explode(F.array(*[F.lit(x) for x in ("de", "fr", "es", "en")])).alias("locale"))
-    return locale_format.format_text(rows, "text", "locale").select("o_orderkey", "locale", "formatted.text")
+    return locale_format.format_text(rows, "text", "locale", locales=["de", "fr", "es", "en"]).select("o_orderkey", "locale", "formatted.text")
 
 
 GROUP_DE = "replace(replace(replace(format('{:,.2f}', o_totalprice), ',', '#'), '.', ','), '#', '.')"
@@ -257,7 +287,7 @@ GROUP_DE = "replace(replace(replace(format('{:,.2f}', o_totalprice), ',', '#'),
 @query("format_text_de", f"SELECT o_orderkey, {GROUP_DE} || chr(160) || '$' AS text FROM orders")
 def format_text_de(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("$"), F.format_number("o_totalprice", 2)).alias("text"), F.lit("de").alias("locale"))
-    return locale_format.format_text(rows, "text", "locale").select("o_orderkey", "formatted.text")
+    return locale_format.format_text(rows, "text", "locale", locales=["de"]).select("o_orderkey", "formatted.text")
 
 
 # --- alternates: the pages' navigation links stand in for hreflang tags ------------------------------
@@ -286,3 +316,114 @@ def hreflang_dupes(spark, sf):
 @query("hreflang_target", f"""{ALTS} SELECT DISTINCT page, code || '=https://site.example/' || code AS detail FROM u WHERE code IN ('de', 'es', 'fr') AND slug <> 'index'""")
 def hreflang_target(spark, sf):
     return with_alternates(spark, sf).filter(F.col("check") == "hreflang-target-wrong").select("page", "detail")
+
+
+# --- rewriting and auditing made-up heads: each page gets one defect by its number ---------------------
+
+OWN = "CASE WHEN lang = 'en' THEN CASE WHEN slug = 'index' THEN 'https://site.example/' ELSE 'https://site.example/' || slug END WHEN slug = 'index' THEN 'https://site.example/' || lang ELSE 'https://site.example/' || lang || '/' || slug END"
+ORIGINAL = "CASE WHEN slug = 'index' THEN 'https://site.example/' ELSE 'https://site.example/' || slug END"
+MADE = f"""WITH {S.PAGES}, m AS (SELECT CAST(page_id AS VARCHAR) AS page, page_id, page_id % 15 AS k, lang, slug, {OWN} AS own, {ORIGINAL} AS original FROM site)"""
+
+
+def made(spark, sf):
+    slug = F.when(F.col("slug") == "index", "").otherwise(F.col("slug"))
+    local = F.when(F.col("lang") != "en", F.col("lang"))
+    rows = audited(spark, sf).withColumn("k", F.col("page_id") % 15)
+    return rows.withColumn("own", T.page_url(BASE, local, slug)).withColumn("original", T.page_url(BASE, F.lit(None), slug))
+
+
+def made_heads(spark, sf):
+    """Correct heads, with one defect by k."""
+    rows, k = made(spark, sf), F.col("k")
+    slug = F.when(F.col("slug") == "index", "").otherwise(F.col("slug"))
+    at = lambda n, bad, good: F.when(k == n, bad).otherwise(good)
+    link = lambda code, href: F.concat(F.lit('<link rel="alternate" hreflang="'), code, F.lit('" href="'), href, F.lit('">'))
+    own, original = F.col("own"), F.col("original")
+    canonical = at(1, F.concat(own, F.lit("x")), at(2, F.regexp_replace(own, "^https", "http"), at(3, F.concat(own, F.lit("/")), own)))
+    alternates = [link(F.lit(c), F.when((k == 4) & (F.col("lang") == c), F.concat(own, F.lit("y"))).otherwise(T.page_url(BASE, F.lit(c), slug))) for c in LOCALES]
+    alternates.append(link(F.lit("en"), F.when((k == 4) & (F.col("lang") == "en"), F.concat(own, F.lit("y"))).otherwise(original)))
+    alternates.append(link(F.lit("x-default"), at(5, F.regexp_replace(original, "^https", "http"), at(6, F.concat(original, F.lit("/")), original))))
+    twice = at(14, link(F.lit("de"), T.page_url(BASE, F.lit("de"), slug)), F.lit(""))
+    ld = lambda body: F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))
+    page_node = lambda identity, url: F.concat(F.lit('{"@type": ["WebPage", "Thing"], "@id": "'), identity, F.lit('", "url": "'), url, F.lit('"}'))
+    block = (
+        F.when(k == 10, ld(F.lit("{oops"))).when(k == 11, ld(F.lit('{"a": [{"b": {"c": {"d": {"e": {"inLanguage": "xx"}}}}}]}')))
+        .when(k == 12, ld(page_node(F.concat(own, F.lit("#other")), own))).when(k == 13, ld(page_node(F.concat(own, F.lit("#webpage")), F.concat(own, F.lit("w"))))).otherwise("")
+    )
+    social = F.when(k == 7, F.concat(F.lit('<meta property="og:url" content="'), own, F.lit('z">'))).when(k == 8, '<meta property="og:locale" content="xx">').when(k == 9, '<meta name="robots" content="NoIndex, follow">').otherwise("")
+    head = F.concat(F.lit('<html lang="'), "lang", F.lit('"><head><link rel="canonical" href="'), canonical, F.lit('">'), *alternates, twice, social, block, F.lit("</head></html>"))
+    return rows.withColumn("html", head)
+
+
+DEFECTS = f"""{MADE} SELECT page, c."check", c.detail FROM m, LATERAL (
+  SELECT unnest(['canonical-wrong', 'hreflang-canonical-mismatch']) AS "check", own || 'x' AS detail WHERE k = 1
+  UNION ALL SELECT unnest(['canonical-wrong', 'canonical-protocol', 'hreflang-canonical-mismatch']), replace(own, 'https', 'http') WHERE k = 2
+  UNION ALL SELECT unnest(['canonical-wrong', 'canonical-trailing-slash', 'hreflang-canonical-mismatch']), own || '/' WHERE k = 3
+  UNION ALL SELECT 'hreflang-self-wrong', own || 'y' WHERE k = 4
+  UNION ALL SELECT 'hreflang-en-wrong', own || 'y' WHERE k = 4 AND lang = 'en'
+  UNION ALL SELECT 'hreflang-target-wrong', lang || '=' || own || 'y' WHERE k = 4 AND lang <> 'en'
+  UNION ALL SELECT 'hreflang-xdefault-wrong', replace(original, 'https', 'http') WHERE k = 5
+  UNION ALL SELECT 'hreflang-protocol', 'x-default=' || replace(original, 'https', 'http') WHERE k = 5
+  UNION ALL SELECT 'hreflang-xdefault-wrong', original || '/' WHERE k = 6
+  UNION ALL SELECT 'hreflang-trailing-slash', 'x-default=' || original || '/' WHERE k = 6
+  UNION ALL SELECT 'og-url-wrong', own || 'z' WHERE k = 7
+  UNION ALL SELECT 'og-locale-wrong', 'xx' WHERE k = 8
+  UNION ALL SELECT 'noindex', 'NoIndex, follow' WHERE k = 9
+  UNION ALL SELECT 'jsonld-invalid', '{{oops' WHERE k = 10
+  UNION ALL SELECT 'jsonld-inlanguage', 'xx' WHERE k = 11
+  UNION ALL SELECT 'jsonld-webpage-id', own || '#other' WHERE k = 12
+  UNION ALL SELECT 'jsonld-webpage-url', own || 'w' WHERE k = 13
+  UNION ALL SELECT 'hreflang-duplicate', 'de' WHERE k = 14
+  UNION ALL SELECT 'hreflang-count', '6 of 5' WHERE k = 14) c"""
+
+
+@query("seo_audit_made", DEFECTS)
+def seo_audit_made(spark, sf):
+    """The audit over heads with known defects; every check of a page's head fires but the missing ones."""
+    pages = made_heads(spark, sf)
+    return audit.page_findings(pages, BASE, LOCALES).unionByName(audit.jsonld_findings(pages, BASE))
+
+
+@query("sitemap_audit", f"""WITH b AS (SELECT count(DISTINCT url) + 1 AS n FROM pages) SELECT * FROM (VALUES ('gone.xml', 'sitemap-child-missing', '{BASE}/gone.xml'), ('a.xml', 'sitemap-url-404', '{BASE}/none'), ('a.xml', 'sitemap-url-404', '{BASE}/dir/'),
+    ('a.xml', 'sitemap-url-404', 'http://site.example/p'), ('a.xml', 'sitemap-trailing-slash', '{BASE}/dir/'), ('a.xml', 'sitemap-protocol', 'http://site.example/p')) AS t(page, "check", detail)
+    UNION ALL SELECT 'a.xml', 'sitemap-url-count', '4 of ' || n FROM b""")
+def sitemap_audit(spark, sf):
+    files = [("sitemap.xml", f"<loc>{BASE}/a.xml</loc><loc>{BASE}/gone.xml</loc>"), ("a.xml", f"<loc>{BASE}/ok</loc><loc>{BASE}/none</loc> <loc> {BASE}/dir/ </loc><loc>http://site.example/p</loc>")]
+    built = table(spark, sf, "pages").select("url").unionByName(spark.createDataFrame([(f"{BASE}/ok",)], "url string"))
+    return audit.sitemap_findings(spark.createDataFrame(files, "file string, xml string"), built, BASE)
+
+
+@query("sitemap_no_index", "SELECT 'sitemap.xml' AS page, 'sitemap-index-missing' AS \"check\", '' AS detail")
+def sitemap_no_index(spark, sf):
+    return audit.sitemap_findings(spark.createDataFrame([("a.xml", f"<loc>{BASE}/p</loc>")], "file string, xml string"), table(spark, sf, "pages").select("url"), BASE)
+
+
+LABELS = {"de": "Deutsch", "es": "Español $1", "fr": "Français"}
+
+
+@query("picker_labels", f"""WITH {S.PAGES} SELECT page_id, [x, x] AS labels, CAST(CASE WHEN lang IN ('de', 'es', 'fr') THEN 2 ELSE 0 END AS INTEGER) AS marked, CASE WHEN lang IN ('de', 'es', 'fr') THEN '' ELSE 'picker-current' END AS missed
+    FROM (SELECT *, CASE lang WHEN 'de' THEN 'Deutsch' WHEN 'es' THEN 'Español $1' WHEN 'fr' THEN 'Français' ELSE lang END AS x FROM site)""")
+def picker_labels(spark, sf):
+    """Two pickers a page: labels, options marked as current, and rules that had no effect."""
+    one = '<span class="x" data-i18n-current-lang>English</span>' + "".join(f'<a data-i18n-lang="{c}" href="#">{c}</a>' for c in LOCALES)
+    built = build.localize(site(spark, sf).withColumn("html", F.lit(one + one)), BASE, LABELS)
+    labels = F.regexp_extract_all("html", F.lit("current-lang>([^<]*)</span>"), F.lit(1))
+    marked = F.regexp_count("html", F.concat(F.lit('data-i18n-lang="'), "lang", F.lit('" aria-current="true"')))
+    return built.select("page_id", labels.alias("labels"), marked.alias("marked"), F.array_join(F.filter("misses", lambda m: m.startswith("picker")), ",").alias("missed"))
+
+
+NODES = '{"@graph": [{"@type": "WebPage", "@id": "https://site.example/#webpage", "url": "https://site.example/", "inLanguage": "en"}, {"@type": ["WebSite"], "url": "https://site.example/", "x": [{"inLanguage": "en", "v": 1.50}]}, {"@type": "Organization", "url": "https://site.example/"}]}'
+
+
+@query("jsonld_identity", f"""{MADE.replace("FROM site", "FROM site WHERE lang <> 'en'")} SELECT page_id, '<script type="application/ld+json">{{"@graph":[{{"@type":"WebPage","@id":"' || own || '#webpage","url":"' || own || '","inLanguage":"' || lang || '"}},{{"@type":["WebSite"],"url":"https://site.example/' || lang || '","x":[{{"inLanguage":"' || lang || '","v":1.5}}]}},{{"@type":"Organization","url":"https://site.example/"}}]}}</script><script type="application/ld+json">no json</script>' AS html FROM m""")
+def jsonld_identity(spark, sf):
+    """A page's JSON-LD with its own language and addresses."""
+    block = lambda body: f'<script type="application/ld+json">{body}</script>'
+    pages = site(spark, sf).filter("lang != 'en'").withColumn("html", F.lit(block(NODES) + block("no json")))
+    return build.localize(pages, BASE).select("page_id", "html")
+
+
+@query("gate_identity_jsonld", f"WITH {S.PAGES} SELECT page_id, unnest(['jsonld-language', 'jsonld-id']) AS problem FROM site WHERE lang <> 'en'")
+def gate_identity_jsonld(spark, sf):
+    pages = site(spark, sf).withColumn("html", F.concat(F.lit('<script type="application/ld+json">'), F.lit(NODES), F.lit("</script>")))
+    return gates.identity(pages, BASE).filter(F.startswith("problem", F.lit("jsonld"))).select("page_id", "problem")

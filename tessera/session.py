@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +27,24 @@ def local_session(cpus: int | None = None, shuffle_partitions: int = 8) -> Spark
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables of a scale-factor folder, by any path Spark can read."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """A table written to the shared folder and read back: computed once, and safe from lost executors.
+
+    The folder is spark.checkpoint.dir; a local session without it (as in tests) sets one. The table goes
+    with the application.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-checkpoint-"))
+        root = context.getCheckpointDir()
+    name = f"{root.rstrip('/')}/tessera/stored-{uuid.uuid4().hex[:12]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    df.write.parquet(name)
+    return spark.read.schema(df.schema).parquet(name)

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import text as T
 from tessera.operators import audit, build, gates, glossary, html, lines, locale_format, quality, review, translate
 from tessera.sources import site
 
@@ -248,3 +249,120 @@ def test_dedup_element(spark):
     rows = spark.createDataFrame([(1, 0, "h", "x", "h1"), (2, 0, "h", "x", "p"), (1, 1, "g", "y", "p"), (3, 0, "g", "y", "p")], "doc_id long, seg int, hash string, text string, e string")
     got = {r["hash"]: (r["count"], r["el"], r["sample"]) for r in lines.dedup(rows, F.lit("block"), F.col("e")).collect()}
     assert got == {"h": (2, None, 1), "g": (2, "p", 1)}
+
+
+def test_deep_and_long_inputs_take_linear_time(spark):
+    """Nesting, runs of white space, numbers and entities of a megabyte are read in seconds."""
+    import time
+
+    began = time.time()
+    n = 60_000
+    deep = "<div>" * n + "deep text" + "</div>" * n
+    inline = "<p>start " + "<b>" * n + "bold text" + "</b>" * n + "</p>"
+    rest = "<p>" + "a &amp; b " * n + "</p>" + "<span>" * n + "<hr>" * 1000 + "</i>" * n
+    pages = spark.createDataFrame([(1, deep), (2, inline), (3, rest)], "page long, html string")
+    for mode in ("strict", "recover"):
+        got = {r["page"]: r for r in html.extract(pages, mode).select("page", "text", F.size("tags").alias("t")).collect()}
+        assert got[1]["text"] == "deep text" and got[2]["t"] == n and got[3]["text"].startswith("a & b a & b")
+    assert html.facts(pages).count() == 3 and html.holes(pages).count() >= 0
+    spaced = spark.createDataFrame([("a" + " " * 500_000 + "b",), ("\u2003\ufeff x \u3000\n",)], "t string")
+    assert [len(r[0]) for r in spaced.select(T.trim_ws(F.col("t"))).collect()] == [500_002, 1]
+    numbers = "1,234; 12.5%; $5; " * 20_000
+    row = locale_format.patterns(spark, ["de"])["de"]
+    assert len(locale_format.rewrite(numbers, row)["money"]) == 20_000
+    assert time.time() - began < 120
+
+
+def test_attributes_inside_blocks_are_told(spark):
+    page = '<p title="Own title">See <b>the <img src="x" alt="A red kite"></b> and <a title="Go there" href="#">more</a></p><div><img alt="Alone here"></div>'
+    pages = spark.createDataFrame([(1, page)], "page long, html string")
+    assert [(r["kind"], r["text"]) for r in html.extract(pages).collect()] == [("attr:title", "Own title"), ("block", "See <0>the <1/></0> and <2>more</2>"), ("attr:alt", "Alone here")]
+    assert [(r["kind"], r["el"], r["text"]) for r in html.conflicts(pages).collect()] == [("attr:alt", "img", "A red kite"), ("attr:title", "a", "Go there")]
+
+
+def test_pages_are_written_and_orphans_go(spark, tmp_path):
+    from pathlib import Path
+
+    root = tmp_path / "dist"
+    (root / "de" / "old").mkdir(parents=True)
+    (root / "de" / "old" / "index.html").write_text("gone")
+    (root / "fr").mkdir()
+    (root / "fr" / "index.html").write_text("stays")
+    pages = spark.createDataFrame([("de", "index", "<p>ä</p>"), ("de", "a/b", "x"), ("es", "", None)], "lang string, slug string, html string")
+    got = {r["path"]: r["size"] for r in site.write_pages(pages, str(root)).collect()}
+    assert got == {"de/index.html": 9, "de/a/b/index.html": 1, "es/index.html": 0}
+    assert sorted(str(p.relative_to(root)) for p in Path(root).rglob("*.html")) == ["de/a/b/index.html", "de/index.html", "es/index.html", "fr/index.html"]
+    assert (root / "de" / "index.html").read_text() == "<p>ä</p>"
+    with pytest.raises(ValueError):
+        site.write_pages(spark.createDataFrame([("..", "x", "")], pages.schema), str(root))
+
+
+def test_segments_round_trip(spark, tmp_path):
+    rows = [("a", 5, 9, "block", "h1", [("<b>", "</b>")]), ("a", 1, 3, "text", "h2", []), ("b", 0, 2, "jsonld", "h3", [])]
+    segments = spark.createDataFrame(rows, "page string, start int, stop int, kind string, hash string, tags array<struct<open:string,close:string>>")
+    site.write_segments(segments, str(tmp_path / "segments"))
+    assert sorted(map(repr, site.read_segments(spark, str(tmp_path / "segments")).collect())) == sorted(map(repr, segments.collect()))
+
+
+def test_keys_and_judges():
+    assert site.lookup_key(["A", "B"], {"B": "2"}, "A=1\n") == "2" and site.lookup_key(["A"], {}, "X=0\nA= 1 \n") == "1"
+    assert site.lookup_key(["A"], {}, None, optional=True) is None
+    with pytest.raises(LookupError):
+        site.lookup_key(["A"], {})
+    from tessera.operators import judge
+
+    keys = {"one", "three"}.__contains__
+    assert judge.choose("one", ["one", "two", "three"], keys) == ("three", None) and judge.choose("one", ["one", "two"], keys, "two") == ("two", None)
+    assert judge.choose("one", ["one", "two"], keys)[0] == "one" and judge.choose("one", ["one", "two"], keys)[1]
+    text = judge.prompt("de", [{"source": "Acme", "rule": "keep"}, {"source": "file", "rule": "translate", "targets": {"de": "Datei"}}, {"source": "x", "rule": "translate", "targets": {"fr": "y"}}])
+    assert "Acme: stays" in text and "file: is Datei" in text and "- x" not in text
+
+
+def test_format_options():
+    assert locale_format.format_options({"currency": "off", "units": "metric"}) == ({"currency": False, "numbers": True, "percent": True}, ["units are reserved and left as they are"])
+    assert locale_format.format_options(None)[1] == []
+
+
+REPLIES = {
+    "anthropic": {"content": [{"type": "text", "text": '[{"id": 0, "text": "Hallo"}]'}], "stop_reason": "end_turn", "usage": {"input_tokens": 7, "output_tokens": 3}},
+    "gemini": {"candidates": [{"content": {"parts": [{"text": '```json\n[{"id": 0, "text": "Hallo"}]\n```'}]}, "finishReason": "STOP"}], "usageMetadata": {"promptTokenCount": 7, "candidatesTokenCount": 3}},
+    "openai": {"choices": [{"message": {"content": '{"items": [{"id": 0, "text": "Hallo"}]}'}, "finish_reason": "stop"}], "usage": {"prompt_tokens": 7, "completion_tokens": 3}},
+}
+
+
+@pytest.mark.parametrize("service", sorted(REPLIES))
+def test_adapters_with_a_recorded_transport(service):
+    from tessera.operators import adapters
+
+    sent, refused = [], ["temperature is not supported", '{"error": "response_format"}'] if service == "openai" else []
+
+    def transport(url, headers, body):
+        sent.append((url, headers, json.loads(body)))
+        return (400, refused.pop()) if refused else (200, json.dumps(REPLIES[service]))
+
+    model = adapters.HttpTranslator(service, "some-model", "k3y", lambda lang: f"into {lang}", transport)
+    got = translate.call_model(model, [{"id": 0, "text": "Hello", "el": "p"}], "de", lambda s: None)
+    assert got.rows == {0: "Hallo"} and (got.tokens_in, got.tokens_out) == (7, 3) and not got.errors
+    assert "k3y" in str(sent[0][1]) and "into de" in str(sent[0][2]) and "some-model" in str(sent[0])
+    if service == "openai":  # first the reply format goes down a step, then the parameter is dropped
+        assert [("temperature" in b, b["response_format"]["type"]) for _, _, b in sent] == [(True, "json_schema"), (True, "json_object"), (False, "json_object")]
+    cut = {"anthropic": {"stop_reason": "max_tokens"}, "gemini": {"candidates": [{"finishReason": "MAX_TOKENS"}]}, "openai": {"choices": [{"finish_reason": "length"}]}}[service]
+    assert model.parse(json.dumps(cut))["retryable"] and model.parse("no json")["detail"] == "unreadable"
+
+
+def test_finalize(spark):
+    from tessera.operators import finalize
+
+    page = '<html lang="en"><body><h1>Hello there</h1><p>A <b>bold</b> word</p><a href="/about">About us</a></body></html>'
+    pages = spark.createDataFrame([("p1", "index", page)], "page string, slug string, html string")
+    found = html.extract(pages.select(F.lit(1).cast("long").alias("page"), "html")).withColumn("page", F.lit("p1"))
+    units = found.select("hash", "text", F.lit(1).alias("count"), "el")
+    memory = spark.createDataFrame([(r["hash"], "Hallo du") for r in units.filter("text = 'Hello there'").collect()], "hash string, out string")
+    built, known, report = finalize.finalize(pages, found, units, memory, "de", "https://site.example", purge=True)
+    made = built.first()["html"]
+    assert '<html lang="de">' in made and "<h1>Hallo du</h1>" in made and "<p>[de] A <b>bold</b> word</p>" in made and 'href="/de/about"' in made
+    assert known.count() == 3 and tuple(report.select("replaced", "untranslated").first()) == (3, 0)
+
+
+def test_prefix_of():
+    assert [translate.prefix_of(n) for n in (0, 10, 25_600_000, 25_600_001, 10**11)] == [2, 2, 2, 3, 5]
