@@ -3,19 +3,21 @@
 Vectors are cut into segments; with w components a segment, means m and
 deviations s, the squared distance of two vectors is at least
 sum of w * ((mq - mx)^2 + (sq - sx)^2). As |q - x|^2 = |q|^2 + |x|^2 - 2 q.x, that lower
-bound on the distance is an upper bound on the inner product. Bounds are
-evaluated with few, then more segments, each time only for the pairs that may
-still reach a query's k-th best known score; survivors get exact integer scores.
+bound on the distance is an upper bound on the inner product. Levels run from few to
+more segments: each evaluates only the pairs that may still reach a query's k-th best
+known score, then raises that score by exact products of the pairs that it likes best.
+Survivors of the last level get exact integer scores.
 
 The stated query set meets all rows in blocks: a grid of at most ``QUERY_BLOCK``
-queries by ``ROW_BLOCK`` rows per cell, each cell a bounded group, and the cells'
-best k are merged per query with a rank limit before the exchange.
+queries by ``ROW_BLOCK`` rows per cell (expected sizes; queries and rows are counted
+first), each cell a bounded group, and the cells' best k are merged per query with a
+rank limit before the exchange. Rows are copied once per block of queries.
 
 Edge cases: vectors that are null or hold null or non-finite components take no
-part; shorter vectors count as ending in zeros; ties go to the smaller id; rows
-that repeat an id are candidates of other queries as often as they occur, and a
-query appears once per id (the first by components); fewer than k other rows give
-fewer results; other columns are ignored.
+part, nor do rows whose id is null or no integer; shorter vectors count as ending in
+zeros; ties go to the smaller id; rows that repeat an id are candidates of other
+queries as often as they occur, and a query appears once per id (the first by
+components); fewer than k other rows give fewer results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ from .common import shuffle_partitions, ship
 
 ship(__name__)
 
-QUERY_BLOCK, ROW_BLOCK, STRIP = 2048, 8192, 256
-LEVELS = (1, 4, 16, 32)
+QUERY_BLOCK, ROW_BLOCK, STRIP = 8192, 8192, 256
+LEVELS = (1, 4, 16, 64)
 EXACT = 2.0**52
 
 
@@ -66,41 +68,60 @@ def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.array([sum(int(a) * int(b) for a, b in zip(u, v, strict=True)) for u, v in zip(q, x, strict=True)], dtype=object)
 
 
+def levels_of(width: int) -> tuple[int, ...]:
+    """Numbers of segments whose statistics are cheaper than the vectors themselves."""
+    return tuple(s for s in LEVELS if 4 * s <= width) or LEVELS[:1]
+
+
+def kth(scores: np.ndarray, k: int) -> np.ndarray:
+    """Each row's k-th largest value; minus infinity where there are fewer."""
+    return np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] >= k else np.full(len(scores), -np.inf)
+
+
 def best(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray, k: int) -> tuple[list, dict]:
-    """(query, id, score) of each query's k best rows in a cell, and how many pairs each level left.
+    """(query, id, score) of each query's k best rows in a cell, and how many pairs each level evaluated.
 
-    Pairs stay a mask while many are left (one dense product is then cheaper) and
-    become a list once few are.
+    Pairs stay a mask while many are left (one dense product of the rows still in play
+    is then cheaper) and become a list once few are.
     """
     width = max(q.shape[1], x.shape[1])
     q, x = widen(q, width), widen(x, width)
-    out, left = [], {level: 0 for level in (*LEVELS, "pairs")}
-    levels = [(statistics(q, s), statistics(x, s)) for s in LEVELS]
+    steps = levels_of(width)
+    out, seen = [], dict.fromkeys((*steps, "exact"), 0)
+    levels = [(statistics(q, s), statistics(x, s)) for s in steps]
     small = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * width < EXACT
     longest = max(1.0, float(np.linalg.norm(x, axis=1).max(initial=0)))
+    picks = min(2 * k, len(x))
     for at in range(0, len(q), STRIP):
         ids, qs = q_ids[at : at + STRIP], q[at : at + STRIP]
         alive = ids[:, None] != x_ids[None, :]
-        left["pairs"] += int(alive.sum())
-        # A first threshold: exact scores of the rows that the finest level likes best.
-        liked = np.where(alive, levels[-1][0][at : at + STRIP] @ levels[-1][1].T, -np.inf)
-        seeds = min(2 * k, len(x))
-        likely = np.argpartition(-liked, seeds - 1, axis=1)[:, :seeds]
-        rows = np.repeat(np.arange(len(qs)), seeds)
-        first = exact(qs[rows], x[likely.ravel()]).astype(np.float64).reshape(len(qs), seeds)
-        first[~np.take_along_axis(alive, likely, 1)] = -np.inf
-        limit = np.sort(first, axis=1)[:, -k] if seeds >= k else np.full(len(qs), -np.inf)
-        limit = (limit - 1e-9 * np.linalg.norm(qs, axis=1) * longest - 1e-6)[:, None]
-        for level, (a, b) in zip(LEVELS, levels, strict=True):
-            if 8 * (n := int(alive.sum())) > alive.size:
-                alive &= a[at : at + STRIP] @ b.T >= limit
+        known = np.full((len(qs), k), -np.inf)  # best exact scores so far, of distinct rows
+        tried = np.zeros(alive.shape, bool)
+        slack = 1e-9 * np.linalg.norm(qs, axis=1) * longest + 1e-6
+        for level, (a, b) in zip(steps, levels, strict=True):
+            n = int(alive.sum())
+            seen[level] += n
+            bound = np.full(alive.shape, -np.inf)
+            if 8 * n > alive.size:
+                live = np.flatnonzero(alive.any(axis=0))
+                bound[:, live] = a[at : at + STRIP] @ b[live].T
             elif n:
                 i, j = np.nonzero(alive)
-                alive[i, j] = np.einsum("ij,ij->i", a[at + i], b[j]) >= limit[i, 0]
-            left[level] += int(alive.sum())
+                bound[i, j] = np.einsum("ij,ij->i", a[at + i], b[j])
+            alive &= bound >= (known.min(axis=1) - slack)[:, None]
+            # The pairs that this level likes best and that have no exact score yet raise the limit.
+            hopes = np.where(alive & ~tried, bound, -np.inf)
+            liked = np.argpartition(-hopes, picks - 1, axis=1)[:, :picks]
+            rows = np.repeat(np.arange(len(qs)), picks)
+            usable = np.take_along_axis(hopes, liked, 1) > -np.inf
+            score = np.where(usable, exact(qs[rows], x[liked.ravel()]).astype(np.float64).reshape(usable.shape), -np.inf)
+            tried[rows, liked.ravel()] |= usable.ravel()
+            known = np.sort(np.hstack([known, score]), axis=1)[:, -k:]
+            alive &= bound >= (known.min(axis=1) - slack)[:, None]
+        seen["exact"] += int(alive.sum())
         if small and 8 * int(alive.sum()) > alive.size and len(x) > k:
             scores = np.where(alive, qs @ x.T, -np.inf)
-            i, j = np.nonzero(alive & (scores >= np.partition(scores, -k, axis=1)[:, -k, None]))
+            i, j = np.nonzero(alive & (scores >= kth(scores, k)[:, None]))
             score = scores[i, j].astype(np.int64)
         else:
             i, j = np.nonzero(alive)
@@ -109,16 +130,17 @@ def best(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray, k:
         i, j, score = i[order], j[order], score[order]
         keep = np.arange(len(i)) - np.searchsorted(i, i) < k
         out += zip(ids[i[keep]].tolist(), x_ids[j[keep]].tolist(), score[keep].tolist(), strict=True)
-    return out, left
+    return out, seen
 
 
 def top_k(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding", k: int = 5, every: int = 50) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other rows of each row whose id is divisible by ``every``."""
     finite = F.expr(f"{vector} IS NOT NULL AND {id_col} IS NOT NULL AND NOT exists({vector}, x -> x IS NULL OR isnan(x) OR abs(x) = double('Infinity'))")
-    rows = df.filter(finite).select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    rows = df.filter(finite).select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter("id IS NOT NULL")
     queries = rows.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
-    n = rows.count()
-    n_query = -(-max(1, n // every + 1) // QUERY_BLOCK)
+    counted = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("id") % every == 0).alias("q")).first()
+    n = counted["n"]
+    n_query = max(1, -(-counted["q"] // QUERY_BLOCK))
     n_row = max(-(-n // ROW_BLOCK), min(2 * shuffle_partitions(df.sparkSession), -(-n // 256)), 1)
     grid = lambda salt, blocks: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(blocks)).cast("int")
     # Repeated ids would share a block; the row number spreads them.
