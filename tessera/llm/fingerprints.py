@@ -114,12 +114,17 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
 
 
 def compare_edited(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each document's fingerprint against its edited text's and its neighbour's.
+    """id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row.
 
     Likeness of an exact digest is 1 where canonical bytes are equal, else 0; both
-    forms stand in one row, so the bytes themselves are compared.
+    forms stand in one row, so the bytes themselves are compared. Buckets of equal hashes
+    are compared byte for byte over documents; edited texts, which rarely meet another, are first
+    compared by a second digest of 256 bits, and byte for byte where that differs within a bucket.
     """
     rows = df.select(F.col(id_col), F.coalesce(F.col(text), F.lit("")).alias("__fp_text"))
+    scratch = Scratch(df.sparkSession, "fingerprint")
+    given = rows.select(canonical(F.col("__fp_text")).alias("__fp_form")).withColumn("__fp_hash", wide_hash(F.col("__fp_form")))
+    clash = scratch.put(collisions(given))
     near = with_next(rows, id_col, "__fp_text")
     n = F.length("__fp_text")
     near = near.withColumn("n_chars", n.cast("long")).withColumn(
@@ -133,28 +138,36 @@ def compare_edited(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         canonical(F.col("__fp_edited")).alias("__fp_b"),
         canonical(F.col("__fp_next")).alias("__fp_c"),
     )
-    return forms.select(
+    second = lambda form: F.unhex(F.sha2(form, 256))
+    light = forms.select(
         id_col,
         "n_chars",
         "edited_sha256",
-        wide_hash(F.col("__fp_a")).alias("__fp_hash"),
-        wide_hash(F.col("__fp_b")).alias("__fp_edited_hash"),
+        wide_hash(F.col("__fp_a")).alias("__fp_ha"),
+        wide_hash(F.col("__fp_b")).alias("__fp_hb"),
+        second(F.col("__fp_a")).alias("__fp_sa"),
+        second(F.col("__fp_b")).alias("__fp_sb"),
         (F.col("__fp_a") == F.col("__fp_b")).cast("double").alias("near_edited"),
         (F.col("__fp_a") == F.col("__fp_c")).cast("double").alias("near_next"),
     )
+    light = scratch.put(light)
+    both = light.select(F.col("__fp_ha").alias("h"), F.col("__fp_sa").alias("s")).unionByName(light.select(F.col("__fp_hb").alias("h"), F.col("__fp_sb").alias("s")))
+    mixed = both.groupBy("h").agg(F.min("s").alias("a"), F.max("s").alias("b")).filter("a != b").select("h")
+    mixed = scratch.put(mixed.unionByName(clash.select(F.col("__fp_hash").alias("h"))).distinct())
+    if mixed.isEmpty():
+        marks = {"a": F.col("__fp_ha"), "b": F.col("__fp_hb")}
+    else:
+        # Bytes that differ under one hash: each form of the bucket, edited ones too, gets its ordinal.
+        each = [forms.select(F.col(f"__fp_{x}").alias("__fp_form")).withColumn("__fp_hash", wide_hash(F.col("__fp_form"))) for x in "ab"]
+        told = collisions(each[0].unionByName(each[1]).join(mixed.withColumnRenamed("h", "__fp_hash"), "__fp_hash", "left_semi"))
+        told = scratch.put(told.select("__fp_hash", second(F.col("__fp_form")).alias("__fp_second"), "__fp_ordinal"))
+        for x in "ab":
+            side = told.select(F.col("__fp_hash").alias(f"__fp_h{x}"), F.col("__fp_second").alias(f"__fp_s{x}"), F.col("__fp_ordinal").alias(f"__fp_o{x}"))
+            light = light.join(side, [f"__fp_h{x}", f"__fp_s{x}"], "left")
+        marks = {x: tag(F.col(f"__fp_h{x}"), F.col(f"__fp_o{x}")) for x in "ab"}
+    return light.select(id_col, "n_chars", "edited_sha256", marks["a"].alias("fingerprint"), marks["b"].alias("edited_fingerprint"), "near_edited", "near_next")
 
 
 def query(spark, sf_dir):
     """op3: fingerprints of all documents and of their edited texts."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    forms = docs.select(canonical(F.col("text")).alias("__fp_form")).withColumn("__fp_hash", wide_hash(F.col("__fp_form")))
-    scratch = Scratch(spark, "fingerprint")
-    clash = scratch.put(collisions(forms))
-    compared = compare_edited(docs)
-    if not clash.isEmpty():
-        # Bytes that differ under one hash: the verified ordinal comes from the per-row operator.
-        verified = fingerprint(docs.dropDuplicates(["doc_id"])).select("doc_id", "fingerprint")
-        compared = compared.join(verified, "doc_id", "left")
-    else:
-        compared = compared.withColumn("fingerprint", F.col("__fp_hash"))
-    return compared.select("doc_id", "n_chars", "edited_sha256", "fingerprint", F.col("__fp_edited_hash").alias("edited_fingerprint"), "near_edited", "near_next")
+    return compare_edited(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
