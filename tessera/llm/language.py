@@ -4,7 +4,8 @@ Training counts n-grams per language on a bounded sample of labelled rows
 (``MAX_TRAIN``, chosen by a hash of the id, whole texts); the counts are summed by
 Spark, and the matrix of log probabilities (``BUCKETS`` by languages) is
 broadcast. Scoring hashes a batch's n-grams at once and sums the matrix's rows of
-the n-grams that occur, document by document, in slices of bounded size.
+the n-grams that occur, document by document, in slices of bounded size. The driver
+holds the counts: at most ``BUCKETS`` a language, and no more than the sample's n-grams.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; without
 any training row every text is; rows of null language are not learned from;
@@ -14,7 +15,6 @@ other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import cut_below, hashed_key, ship
 
 ship(__name__)
 
@@ -31,7 +31,6 @@ ORDERS = (1, 2, 3)
 MAX_TRAIN = 12_000
 SMOOTH = 0.5
 SLICE = 400_000  # characters scored at once
-_letter = re.compile(r"[^\W\d_]")
 _multipliers = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
 
 
@@ -41,13 +40,16 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def sample(df: DataFrame, id_col: str, label: str, most: int) -> DataFrame:
-    """At most about ``most`` of the labelled rows open to training, by a hash of the id; whole texts."""
+    """At most ``most`` of the labelled rows open to training, those of the lowest hash of the id; whole texts."""
     labelled = df.filter(F.col(label).isNotNull() & ~held_out(id_col))
-    n = labelled.count()
-    if n <= most:
-        return labelled
-    cut = int((most / n) * 1_000_000)
-    return labelled.filter(F.pmod(F.xxhash64(F.lit("train"), F.col(id_col)), F.lit(1_000_000)) < cut)
+    key = hashed_key(F.lit("train"), F.col(id_col))
+    cut = cut_below(labelled, key, most)
+    return labelled if cut is None else labelled.filter(key < cut)
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether a text holds a letter (Unicode category L): no digit, fraction or numeral sign counts."""
+    return any(map(str.isalpha, text or ""))
 
 
 def code_points(text: str) -> np.ndarray:
@@ -134,7 +136,7 @@ def identify(df: DataFrame, model: dict, id_col: str = "doc_id", text: str = "te
         fitted = shared.value
         for batch in batches:
             lang, score = np.full(len(batch), "und", object), np.zeros(len(batch))
-            have = [i for i, value in enumerate(batch["t"]) if value and _letter.search(value)] if fitted["langs"] else []
+            have = [i for i, value in enumerate(batch["t"]) if has_letter(value)] if fitted["langs"] else []
             if have:
                 names, p = score_batch([batch["t"].iat[i] for i in have], fitted)
                 lang[have], score[have] = names, p
