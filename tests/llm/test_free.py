@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, catalog, language, neardup, search, sharding, toxicity
-from tessera.llm.common import Scratch
+from tessera.llm.common import Scratch, cut_below
 
 from .conftest import DATA
 
@@ -51,6 +51,17 @@ def test_sharding_hot_copies(spark):
     assert cut <= 23
 
 
+def test_sharding_repeated_and_empty_rows(spark):
+    """Rows equal in id and text can be cut, and a mass of empty texts is divided by rows."""
+    same = spark.createDataFrame([(1, "the same row")] * 2000, "doc_id long, text string")
+    sizes = check_shards(sharding.shard(same).collect(), {}, 24)
+    assert len(sizes) == 24 and max(sizes.values()) - min(sizes.values()) <= 0.02 * 2000 * 20
+    light = spark.createDataFrame([(i, "" if i % 10 else "x" * 50_000) for i in range(1000)], "doc_id long, text string").select("doc_id", (F.length("text") + 8).cast("long").alias("size"), F.xxhash64("text").alias("k1"), F.xxhash64("doc_id").alias("k2"))
+    starts, ranges = sharding.split(light, 4, 8)
+    counts = [n for _, n, _, _ in sharding.histogram(light, starts)]
+    assert sum(counts) == 1000 and max(counts) <= 100 and len(ranges) == len(counts)
+
+
 def test_sharding_edges(spark, odd, empty):
     got = sharding.shard(odd)
     assert "label" in got.columns and len(check_shards(got.collect(), {}, 24)) <= 24 and got.count() == odd.count()
@@ -94,8 +105,10 @@ def test_search_prunes(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(0, 100, (20, 64)).repeat(2, axis=0)[:20]
     x = np.floor(centres[rng.integers(0, 20, 2000)] + rng.normal(0, 3, (2000, 64)))
-    found, left = search.best(np.arange(0, 2000, 50), x[::50], np.arange(2000), x, 5)
-    assert left[32] < 0.5 * left["pairs"]
+    found, seen = search.best(np.arange(0, 2000, 50), x[::50], np.arange(2000), x, 5)
+    # Coarse to fine: each level evaluates fewer pairs than the one before.
+    counts = list(seen.values())
+    assert list(seen) == [1, 4, 16, "exact"] and counts == sorted(counts, reverse=True) and len(set(counts)) == 4 and seen["exact"] < 0.1 * seen[1]
     for q in (0, 50, 100):
         scores = sorted(((-int(x[q] @ x[j]), j) for j in range(2000) if j != q))[:5]
         assert [(i, -s) for s, i in scores] == [(i, s) for a, i, s in found if a == q]
@@ -139,6 +152,55 @@ def test_language_long_texts_are_read_whole():
     assert names == ["ab"[int(whole.argmax())]] and abs(p[0] - (e / e.sum()).max()) < 1e-9
 
 
+def test_letters(spark, docs):
+    """Superscripts, fractions and numerals are no letters."""
+    assert [language.has_letter(t) for t in ("²³ ½ 12", "Ⅷ ①", "", None, "12 a", "漢", "_ 9")] == [False, False, False, False, True, True, False]
+
+
+def test_sample_is_exact_and_never_empty(spark):
+    rows = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit(1).alias("y"))
+    assert language.sample(rows, "doc_id", "y", 300).count() == 300 and language.sample(rows, "doc_id", "y", 1).count() == 1
+    assert language.sample(rows, "doc_id", "y", 9000).count() == rows.filter(~language.held_out()).count()
+    hot = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    for most in (10, 5000, 9000):
+        cut = cut_below(hot, F.col("k"), most)
+        kept, ties = hot.filter(F.col("k") < cut).count(), hot.filter(F.col("k") <= cut).count()
+        assert kept <= most < ties
+
+
+def test_language_by_plain_counting(spark):
+    """Naive Bayes by dictionaries of buckets gives the same predictions and scores."""
+    rng = random.Random(6)
+    letters = {"aa": "abcdef gh", "bb": "abcxyz ij", "cc": "mnopq rst"}
+    rows = [(i, "".join(rng.choices(letters[lang], k=rng.randint(1, 40))), lang) for i in range(200) for lang in [rng.choice(sorted(letters))]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(df, language.train(df)).collect()}
+
+    def grams(text):
+        points = list(map(ord, text.lower()))
+        for n, order in enumerate(language.ORDERS):
+            for i in range(len(points) - order + 1):
+                h = (n + 1) * 374761393 & 0xFFFFFFFF
+                for k in range(order):
+                    h = ((h ^ points[i + k]) * int(language._multipliers[k])) & 0xFFFFFFFF
+                    h ^= h >> 15
+                yield h % language.BUCKETS
+
+    count, docs_ = {x: {} for x in letters}, dict.fromkeys(letters, 0)
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2:
+            docs_[lang] += 1
+            for g in grams(text):
+                count[lang][g] = count[lang].get(g, 0) + 1
+    for i, text, _ in rows:
+        if not any(c.isalpha() for c in text):
+            assert got[i] == ("und", 0.0)
+            continue
+        logs = {x: np.log(docs_[x] / sum(docs_.values())) + sum(np.log((count[x].get(g, 0) + 0.5) / (sum(count[x].values()) + 0.5 * language.BUCKETS)) for g in grams(text)) for x in sorted(letters)}
+        top = max(logs, key=logs.get)
+        assert got[i][0] == top and abs(got[i][1] - 1 / sum(np.exp(v - logs[top]) for v in logs.values())) < 1e-3
+
+
 # --- near duplicates ----------------------------------------------------------------------------------
 
 
@@ -194,9 +256,44 @@ def test_near_duplicates(spark, docs, k):
 
 
 def test_near_duplicate_edges(spark, odd, empty):
-    got = neardup.near_duplicates(odd.filter("doc_id IS NOT NULL")).collect()
-    assert len(got) == odd.count() - 1 and {r["doc_id"]: r["component_id"] for r in got} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 4, 7: 7, 8: 8}
+    got = neardup.near_duplicates(odd).collect()
+    assert len(got) == odd.count() and {r["doc_id"]: r["component_id"] for r in got} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 4, 7: 7, 8: 8, None: None}
+    assert [r["kept"] for r in got if r["doc_id"] is None] == [True]
     assert neardup.near_duplicates(empty).count() == 0
+    # One id with two texts: each row goes with its text; a row without an id gives way to one with an id.
+    rows = spark.createDataFrame([(1, "a b c d e f"), (1, "u v w x y z"), (5, "U V W X Y Z"), (6, "a b c d e f"), (None, "a b c d e f"), (None, "p q"), (None, "P Q")], "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(rows, k=2).filter("component_id IS NOT NULL").collect())
+    assert got == [(0, 5, 1, False), (1, 5, 1, True), (1, 5, 1, True), (5, 5, 1, False), (6, 5, 1, False)]
+    assert neardup.near_duplicates(rows, k=2).filter("component_id IS NULL AND kept").count() == 2
+
+
+def joined_rows(spark, texts):
+    rows = spark.createDataFrame(texts, "id long, t string")
+    pairs = rows.filter("id > 0").select(F.lit(0).cast("long").alias("hub"), "id")
+    scratch = Scratch(spark, "test")
+    tested = scratch.put(neardup.against_hubs(pairs, rows, 1))
+    sure, joined = neardup.member_candidates(neardup.centred(tested, scratch))
+    return tested.filter("linked").count(), sure.count(), joined.count(), neardup.between_members(tested, scratch)
+
+
+def test_families_do_not_join_all_pairs(spark):
+    """Members at 0.69 of their hub: with a part of the hub's own that all lack, and with words replaced anywhere."""
+    base_, rng = [f"b{i}" for i in range(800)], random.Random(5)
+    for m in (100, 200):
+        own = [(0, " ".join([*base_, *[f"h{i}" for i in range(180)]]))] + [(i, " ".join([*base_, *[f"m{i}x{j}" for j in range(180)]])) for i in range(1, m + 1)]
+        replaced = [(0, " ".join(base_))]
+        for i in range(1, m + 1):
+            w = base_[:]
+            for p in rng.sample(range(800), 150):
+                w[p] = f"q{i}x{p}"
+            replaced.append((i, " ".join(w)))
+        # A cluster that its hub does not connect is connected by one link a member.
+        apart = [(0, own[0][1])] + [(i, " ".join([*base_[i % 7 :], *[f"c{j}" for j in range(180)]])) for i in range(1, m + 1)]
+        assert joined_rows(spark, own)[:3] == (0, 0, 0) and joined_rows(spark, replaced)[:3] == (0, 0, 0)
+        linked, sure, joined, links = joined_rows(spark, apart)
+        assert linked == 0 and m - 1 <= sure + joined <= 3 * m
+        graph = neardup.components(links, Scratch(spark, "test"))
+        assert graph.select("component").distinct().count() == 1 and graph.count() == m - 1
 
 
 def test_components(spark):
@@ -231,7 +328,7 @@ def toxic_rows(n, seed):
 
 def test_toxicity_learns_subwords():
     rows = toxic_rows(900, 1)
-    scorer = toxicity.Scorer(toxicity.fit([t for t, _ in rows], np.array([y for _, y in rows], float)))
+    scorer = toxicity.Scorer(toxicity.compiled(toxicity.fit([t for t, _ in rows], np.array([y for _, y in rows], float))))
     fresh = toxic_rows(300, 2)
     assert np.mean([(scorer.score(t) >= toxicity.THRESHOLD) == bool(y) for t, y in fresh]) > 0.97
     filler = " ".join(rows[1][0].split()[:30])
@@ -239,6 +336,31 @@ def test_toxicity_learns_subwords():
     assert 0 <= scorer.score("") < toxicity.THRESHOLD
 
 
+def test_toxicity_by_a_plain_forward_pass():
+    """Scores are the softmax of the average of a window's word vectors, each the average of its n-grams' vectors."""
+    rows = toxic_rows(200, 3)
+    model = toxicity.fit([t for t, _ in rows], np.array([y for _, y in rows], float))
+    scorer = toxicity.Scorer(toxicity.compiled(model))
+    for text in [t for t, _ in rows[:40]] + ["one", "a b c d e f g h i j", "a b c d e f g h i j k", "Scumbag, 'moronic'!"]:
+        vectors = [np.mean([model["e"][g] for g in toxicity.subwords(w.strip(toxicity.STRIP))], axis=0) for w in text.lower().split()]
+        odds = []
+        for start in [s for s in range(0, len(vectors), toxicity.STRIDE) if s + toxicity.WINDOW < len(vectors)] + [max(0, len(vectors) - toxicity.WINDOW)]:
+            logits = np.mean(vectors[start : start + toxicity.WINDOW], axis=0) @ model["v"] * toxicity.WINDOW + model["b"]
+            p = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+            odds.append(np.log(p[1] / p[0]))
+        want = 1 / (1 + np.exp(-(model["slope"] * max(odds) + model["offset"])))
+        assert abs(scorer.score(text) - want) < 1e-6
+
+
+def test_toxicity_does_not_depend_on_the_place():
+    """A passage is read whole wherever it starts."""
+    rows = toxic_rows(600, 1)
+    scorer = toxicity.Scorer(toxicity.compiled(toxicity.fit([t for t, _ in rows], np.array([y for _, y in rows], float))))
+    clean = [w for t, y in rows if not y for w in t.split()][:200]
+    scores = [scorer.score(" ".join([*clean[:at], "scumbag", "moronic", *clean[at:]])) for at in range(20, 60)]
+    assert min(scores) >= toxicity.THRESHOLD > scorer.score(" ".join(clean))
+
+
 def test_toxicity_query(spark, docs):
     rows = catalog.queries()["op8_toxicity"](spark, DATA).collect()
     assert len(rows) == docs.count() and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
@@ -251,6 +373,8 @@ def test_toxicity_edges(spark, odd, empty):
     assert scored.count() == odd.count() and scored.columns == [*odd.columns, "toxicity"]
     assert toxicity.flag(odd, labels.filter("false")).filter("toxicity != 0").count() == 0
     assert toxicity.flag(empty, labels).count() == 0
+    clash = toxicity.flag(odd.withColumn("toxicity", F.lit("old")), labels)
+    assert clash.columns == [*odd.columns, "toxicity"] and dict(clash.dtypes)["toxicity"] == "double"
 
 
 # --- BPE -----------------------------------------------------------------------------------------------
@@ -302,6 +426,21 @@ def test_lexicon():
     assert bpe.Lexicon(bpe.compile_lexicon({})).find(b"a") is None
 
 
+def test_frequent_chunks(spark):
+    """Ties at the edge are taken up to the bound, and large counts are no exception."""
+    rows = spark.createDataFrame([(1, "a b c a b c d")], "doc_id long, text string")
+    assert len(bpe.frequent(rows, top=2)) == 2 and {n for _, n in bpe.frequent(rows, top=2)} == {2}
+    assert bpe.frequent(rows, top=3) == [("a", 2), ("b", 2), ("c", 2)] and len(bpe.frequent(rows, top=9)) == 4
+    many = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(6)) + " ") for i in range(3)], "doc_id long, text string").selectExpr("doc_id", "repeat(text, 30000) AS text")
+    assert [n for _, n in bpe.frequent(many, top=4)] == [90_000] * 4
+    assert bpe.frequent(rows.filter("false")) == []
+
+
+def test_bpe_clashing_columns(spark):
+    got = bpe.encode(spark.createDataFrame([(1, "Hi there", "old")], "doc_id long, text string, n_tokens string"), ids=False)
+    assert got.columns == ["doc_id", "text", "n_tokens", "ids_sha256", "decoded_sha256"] and got.first()["n_tokens"] == 2
+
+
 # --- pipeline ------------------------------------------------------------------------------------------
 
 
@@ -328,16 +467,23 @@ def test_pipeline(spark, docs, reference_tokenizer):
 def test_pipeline_on_odd_rows(spark, odd, empty, tmp_path):
     import corpus_pipeline as pipeline
 
-    spark.createDataFrame([(1, 0, 0), (3, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, 0, 0), (3, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     for source in (odd, empty):
-        now, scratch = source.select(*pipeline.COLUMNS), Scratch(spark, "test")
-        for _, stage in pipeline.STAGES:
+        now, scratch, ids = source.select(*pipeline.COLUMNS), Scratch(spark, "test"), {}
+        for name, stage in pipeline.STAGES:
             now = scratch.put(stage(spark, now, str(tmp_path)))
-        assert now.count() >= 0
+            ids[name] = sorted(str(r["doc_id"]) for r in now.select("doc_id").collect())
+        if source is empty:
+            assert not any(ids.values())
+            continue
+        # Nothing is known to be toxic; of the copies 4, 5 and 6 one stays; texts without words are never taken.
+        assert ids["toxicity"] == sorted(str(r["doc_id"]) for r in odd.collect())
+        assert ids["near_duplicates"] == ids["personal_data"] == sorted(map(str, [0, 1, 2, 3, 3, 4, 7, 8, None]))
+        assert set(ids["mixing"]) == {"2", "3", "4", "7", "8", "None"} and ids["bpe"] == ids["mixing"]
 
 
 def test_full_sets_decide_links(spark):
     words = [f"w{i}" for i in range(20)]
-    texts = spark.createDataFrame([(1, " ".join(words), b"\x00" * 160), (2, " ".join([*words[1:], "x"]), b"\x01" * 160), (3, " ".join([*words[5:], "x"]), b"\x00" * 160)], "id long, t string, sig binary")
+    texts = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words[1:], "x"])), (3, " ".join([*words[5:], "x"]))], "id long, t string")
     pairs = spark.createDataFrame([(1, 2), (1, 3)], "hub long, id long")
     assert {r["id"]: r["linked"] for r in neardup.against_hubs(pairs, texts, 1).collect()} == {2: True, 3: False}
