@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, language, licenses, mixing, neardup, pii, search, sharding, toxicity
+from . import bpe, companions, fingerprints, language, licenses, mixing, neardup, pii, search, sharding, toxicity
 
 
 def pipeline(spark, sf_dir):
@@ -25,8 +25,9 @@ def queries():
         "op8_toxicity": toxicity.query,
         "op9_bpe_encoding_and_decoding": bpe.query,
         "op10_mixing": mixing.query,
+        **companions.QUERIES,
     }
 
 
 def oracle_sql():
-    return {"op5_exact_top_k_search": search.ORACLE, "op7_minhash_near_dedup": neardup.ORACLE}
+    return {"op5_exact_top_k_search": search.ORACLE, "op7_minhash_near_dedup": neardup.ORACLE, **companions.ORACLES}
