@@ -31,12 +31,13 @@ def hits(units: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
     """Units joined to the terms that occur in them as whole words.
 
     The first word of a term, lower-cased, must be a word of the unit: that equi-join
-    leaves few pairs to test, where a pattern join would compare all of them.
+    leaves few pairs to test, where a pattern join would compare all of them. The glossary is
+    broadcast, as a shuffle by word would copy each text once for every word of it.
     """
     first = F.regexp_extract(F.lower("source"), BOUNDARY, 0)
     keyed = terms.filter(F.length("source") > 0).withColumn("__word", first)
     words = units.withColumn("__word", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(BOUNDARY), F.lit(0)))))
-    near = words.join(keyed, "__word").drop("__word")
+    near = words.join(F.broadcast(keyed), "__word").drop("__word")
     return near.filter(occurs(F.col(text), F.col("source"), F.col("match_case")))
 
 
