@@ -3,6 +3,9 @@
 from pyspark.sql import functions as F
 
 from tessera.operators import glossary
+from tessera.plans import queries
+
+DATA = "/root/testdata/sf0.001"
 
 
 def plan(df) -> str:
@@ -15,3 +18,8 @@ def test_hits_do_not_shuffle_texts_by_word(spark):
     found = glossary.hits(units, terms)
     assert "SortMergeJoin" not in plan(found) and "Exchange hashpartitioning" not in plan(found)
     assert {(r[0], r[1]) for r in found.groupBy("source").count().collect()} == {("Acme", 100), ("an acme", 100)}
+
+
+def test_terms_for_batch_exchanges_units_once(spark):
+    found = plan(queries.QUERIES["terms_for_batch"](spark, DATA))
+    assert "SortMergeJoin" not in found and "hashpartitioning(__word" not in found
