@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import text as T
+from ..session import stored
 
 
 MOST_LOCALES = 2000
@@ -74,27 +75,74 @@ def identity(pages: DataFrame, base: str) -> DataFrame:
     return pages.withColumn("problem", F.explode(found))
 
 
+#: Lengths of the grams that stand for a string in the search, and most strings searched in one pass over the units.
+GRAMS, A_PASS = (12, 3), 200_000
+
+
+def _rule(df: DataFrame) -> DataFrame:
+    return df.filter(T.translatable(F.col("text"), least=3, tags=False, english=False))
+
+
+def _key(text) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
 def offered(source_visible: DataFrame, visible: DataFrame, extracted: DataFrame) -> DataFrame:
-    """Visible translatable strings of localized pages: whether the source page shows them too, and whether they lie in its extracted units.
+    """Distinct translatable strings of localized pages (slug, lang) with their number n: whether the source page shows them too (same) and, if so, whether they lie in its extracted units (inside); else their text.
 
-    A page's units are joined into one text without their numbered tags, and searched as such.
+    A page's units are joined into one text without their numbered tags, and searched as such. Strings go by
+    their SHA-256; only those that the source page shows and that are no whole unit are searched for.
+    """
+    strings = stored(_rule(visible).groupBy("slug", "lang", _key("text").alias("key")).agg(F.count(F.lit(1)).alias("n")))
+    bare = extracted.select("slug", T.strip_placeholders(F.col("text")).alias("bare"))
+    shown = _rule(source_visible).select("slug", _key("text").alias("key")).distinct()
+    wholes = bare.select("slug", _key("bare").alias("key")).distinct().withColumn("whole", F.lit(True))
+    same = strings.select("slug", "key").distinct().join(shown, ["slug", "key"]).join(wholes, ["slug", "key"], "left")
+    same = stored(same.withColumn("whole", F.coalesce("whole", F.lit(False))))
+    open_ = _rule(source_visible).select("slug", "text", _key("text").alias("key")).join(same.filter("NOT whole").drop("whole"), ["slug", "key"])
+    open_ = stored(open_.select("slug", "key", "text").distinct())
+    holes = open_.join(within(open_, bare), ["slug", "key"], "left_anti")
+    rows = strings.join(same.select("slug", "key", F.lit(True).alias("same")), ["slug", "key"], "left").join(holes, ["slug", "key"], "left")
+    return rows.select("slug", "lang", "n", F.coalesce("same", F.lit(False)).alias("same"), (F.col("same").isNotNull() & F.col("text").isNull()).alias("inside"), "text")
+
+
+def within(strings: DataFrame, units: DataFrame) -> DataFrame:
+    """(slug, key) of the strings (slug, key, text) that lie in the joined units (slug, bare) of their slug.
+
+    A string lies in a unit only if each gram of it does: one gram a string (of the longest kind that fits)
+    is looked up among the grams of each unit, so that work grows with the units' characters. Only a string with
+    two spaces can span units; those found in none are searched for in the joined text of their pages.
     """
-    rule = lambda df: df.filter(T.translatable(F.col("text"), least=3, tags=False, english=False))
-    shown = rule(source_visible.select("slug", "text")).distinct().withColumn("same", F.lit(True))
-    whole = extracted.groupBy("slug").agg(F.array_join(F.collect_list(T.strip_placeholders(F.col("text"))), "  ").alias("units"))
-    rows = rule(visible).join(shown, ["slug", "text"], "left").join(whole, "slug", "left")
-    return rows.withColumn("same", F.coalesce("same", F.lit(False))).withColumn("inside", F.coalesce(F.contains("units", "text"), F.lit(False))).drop("units")
+    grams = lambda text, n: F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+    found = strings.select("slug", "key").limit(0)
+    for n, longer in zip(GRAMS, (None, *GRAMS), strict=False):
+        some = strings.filter(F.length("text") >= n)
+        some = some.filter(F.length("text") < longer) if longer else some
+        passes = -(-some.count() // A_PASS)
+        least = F.array_min(F.transform(grams("text", n), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))["g"]
+        for k in range(passes):
+            wanted = some.filter(F.pmod(F.xxhash64("key"), F.lit(passes)) == k).withColumn("gram", least)
+            near = units.withColumn("gram", F.explode(F.array_distinct(grams("bare", n)))).join(F.broadcast(wanted), ["slug", "gram"])
+            found = found.unionByName(near.filter(F.contains("bare", "text")).select("slug", "key").distinct())
+    spanning = strings.filter(F.contains("text", F.lit("  ")))
+    if spanning.isEmpty():
+        return found
+    found = stored(found)
+    rest = spanning.join(found, ["slug", "key"], "left_anti")
+    joined = units.join(rest.select("slug").distinct(), "slug", "left_semi").groupBy("slug").agg(F.array_join(F.collect_list("bare"), "  ").alias("whole"))
+    return found.unionByName(rest.join(joined, "slug").filter(F.contains("whole", "text")).select("slug", "key"))
 
 
 def never_offered(source_visible: DataFrame, visible: DataFrame, extracted: DataFrame) -> DataFrame:
     """Strings that a localized page shares with its source and that were never extracted from it."""
-    return offered(source_visible, visible, extracted).filter("same AND NOT inside").drop("same", "inside").distinct()
+    return offered(source_visible, visible, extracted).filter("same AND NOT inside").select("slug", "lang", "text")
 
 
 def hole_rate(source_visible: DataFrame, visible: DataFrame, extracted: DataFrame) -> DataFrame:
     """Per language: strings never offered, those unchanged but offered, all of them, and the former's share in percent (0 without strings)."""
     rows = offered(source_visible, visible, extracted)
-    counted = rows.groupBy("lang").agg(F.count_if(F.expr("same AND NOT inside")).alias("holes"), F.count_if(F.expr("same AND inside")).alias("kept"), F.count(F.lit(1)).alias("total"))
+    of = lambda rule: F.sum(F.when(F.expr(rule), F.col("n")).otherwise(0))
+    counted = rows.groupBy("lang").agg(of("same AND NOT inside").alias("holes"), of("same AND inside").alias("kept"), F.sum("n").alias("total"))
     return counted.withColumn("percent", F.when(F.col("total") > 0, F.round(100 * F.col("holes") / F.col("total"), 6)).otherwise(0.0))
 
 

@@ -1,8 +1,10 @@
 """Steps whose cost must not outgrow the input, and their results."""
 
+import re
+
 from pyspark.sql import functions as F
 
-from tessera.operators import glossary
+from tessera.operators import gates, glossary
 from tessera.plans import queries
 
 DATA = "/root/testdata/sf0.001"
@@ -23,3 +25,24 @@ def test_hits_do_not_shuffle_texts_by_word(spark):
 def test_terms_for_batch_exchanges_units_once(spark):
     found = plan(queries.QUERIES["terms_for_batch"](spark, DATA))
     assert "SortMergeJoin" not in found and "hashpartitioning(__word" not in found
+
+
+def test_offered_searches_only_shared_strings(spark, monkeypatch):
+    """Odd strings against the joined text, and no joined text where no string can span units."""
+    words = ["alpha beta", "lpha bet", "abc", "bcd", "ein längerer gemeinsamer Satz", "Satz 😀 mit Zeichen", "beta  gamma", "zzz zzz", "one  two"]
+    units = [("a", "xalpha betax"), ("a", "zabcz"), ("a", "<1>ein längerer</1> gemeinsamer Satz"), ("a", "vor Satz 😀 mit Zeichen nach"), ("a", "has one  two inside"), ("b", "alpha beta"), ("b", "alpha beta"), ("b", "ein längerer gemeinsamer Satz")]
+    pairs = [(s, w) for s in "abc" for w in words]
+    source = spark.createDataFrame([p for p in pairs if p != ("a", "lpha bet")], "slug string, text string")
+    seen = spark.createDataFrame([(s, lang, w) for s, w in pairs for lang in ("de", "de", "fr")] + [(None, "de", "abc"), ("a", "es", "only here")], "slug string, lang string, text string")
+    extracted = spark.createDataFrame(units, "slug string, text string")
+    monkeypatch.setattr(gates, "A_PASS", 2)
+    whole = {s: "  ".join(re.sub("</?[0-9]+/?>", " ", t) for u, t in units if u == s) for s in "abc"}
+    holes = {(s, w) for s, w in pairs if (s, w) != ("a", "lpha bet") and w not in whole[s]}
+    assert {tuple(r) for r in gates.never_offered(source, seen, extracted).collect()} == {(s, lang, w) for s, w in holes for lang in ("de", "fr")}
+    rates = {r["lang"]: (r["holes"], r["kept"], r["total"]) for r in gates.hole_rate(source, seen, extracted).collect()}
+    kept = len(pairs) - 1 - len(holes)
+    assert rates == {"de": (2 * len(holes), 2 * kept, 2 * len(pairs) + 1), "fr": (len(holes), kept, len(pairs)), "es": (0, 0, 1)}
+
+
+def test_hole_rate_makes_no_joined_text(spark):
+    assert "collect_list" not in plan(queries.QUERIES["hole_rate"](spark, DATA))
