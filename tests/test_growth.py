@@ -3,9 +3,10 @@
 import re
 
 import duckdb
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tessera.operators import gates, glossary
+from tessera.operators import gates, glossary, html
 from tessera.plans import queries
 
 DATA = "/root/testdata/sf0.001"
@@ -58,3 +59,26 @@ def test_page_titles_equal_sql_on_odd_titles(spark, tmp_path):
     duck.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
     theirs = sorted(duck.sql(queries.ORACLES["page_titles"]).fetchall())
     assert sorted((r["page_id"], r["title"]) for r in queries.QUERIES["page_titles"](spark, str(tmp_path)).collect()) == theirs
+
+
+class Pages:
+    """Stands for a table of pages; gives the function that Spark would run over batches."""
+
+    def select(self, *names):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def one_batch():
+    sources = [f"<html><body><p title='Word {i}'>Text of page {i}</p><p>More text {i}</p></body></html>" for i in range(50)] + [None, ""]
+    return pa.RecordBatch.from_pydict({"page": list(range(len(sources))), "html": sources})
+
+
+def test_html_segments_leave_in_slices(monkeypatch):
+    monkeypatch.setattr(html, "A_SLICE", 300)
+    out = list(html.extract(Pages())(iter([one_batch()])))
+    rows = [r for b in out for r in b.to_pylist()]
+    assert len(out) > 10 and max(b.num_rows for b in out) <= 16
+    assert [(r["page"], r["seg"]) for r in rows] == [(p, s) for p in range(50) for s in range(3)]
