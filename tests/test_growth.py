@@ -82,3 +82,11 @@ def test_html_segments_leave_in_slices(monkeypatch):
     rows = [r for b in out for r in b.to_pylist()]
     assert len(out) > 10 and max(b.num_rows for b in out) <= 16
     assert [(r["page"], r["seg"]) for r in rows] == [(p, s) for p in range(50) for s in range(3)]
+
+
+def test_html_facts_leave_in_slices(monkeypatch):
+    monkeypatch.setattr(html, "A_SLICE", 300)
+    out = list(html.facts(Pages())(iter([one_batch()])))
+    rows = [r for b in out for r in b.to_pylist()]
+    assert len(out) > 10 and max(b.num_rows for b in out) <= 6
+    assert len(rows) == 52 and rows[0]["tags"] == ["html", "body", "p", "p"] and rows[51]["visible"] == []
