@@ -48,14 +48,30 @@ def occurs(text: Column, term: Column, match_case: Column) -> Column:
     return F.regexp_like(t, F.concat(F.lit(r"(?<![\p{L}\p{N}_])"), escaped, F.lit(r"(?![\p{L}\p{N}_])")))
 
 
-def violations(pairs: DataFrame, terms: DataFrame, lang: str) -> DataFrame:
-    """Terms that occur in a source but are not kept, or not translated as told, in its target."""
+def _wanted(terms: DataFrame, lang: str) -> DataFrame:
     rendering = F.when(F.col("rule") == "keep", F.col("source")).otherwise(F.get(F.map_values("targets"), F.lit(0)) if not lang else F.try_element_at("targets", F.lit(lang)))
-    found = hits(pairs, terms, "src").withColumn("__want", rendering).filter("__want IS NOT NULL")
+    return terms.withColumn("__want", rendering).filter("__want IS NOT NULL")
+
+
+def _broken(found: DataFrame) -> DataFrame:
     kept = F.when(F.col("rule") == "keep", F.contains("dst", "__want")).otherwise(F.contains(F.lower("dst"), F.lower("__want")))
     return found.filter(~kept).drop("__want")
 
 
+def violations(pairs: DataFrame, terms: DataFrame, lang: str) -> DataFrame:
+    """Terms that occur in a source but are not kept, or not translated as told, in its target."""
+    return _broken(hits(pairs, _wanted(terms, lang), "src"))
+
+
+def violations_between(sources: DataFrame, targets: DataFrame, keys: list[str], terms: DataFrame, lang: str) -> DataFrame:
+    """``violations`` of sources (keys, src) and targets (keys, dst) that have yet to be joined.
+
+    Only terms found travel to the join, not the sources' texts; the result has no texts.
+    """
+    found = hits(sources.select(*keys, "src"), _wanted(terms, lang), "src").drop("src")
+    return _broken(found.join(targets.select(*keys, "dst"), keys)).drop("dst")
+
+
 def line(terms: DataFrame) -> DataFrame:
     """Each term's canonical line: source|rule|case|targets by language."""
     targets = F.array_join(F.array_sort(F.transform(F.map_entries(F.coalesce("targets", F.map_from_arrays(F.array(), F.array()).cast("map<string,string>"))), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")

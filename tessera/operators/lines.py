@@ -38,9 +38,16 @@ def dedup(segments_: DataFrame, kind: Column, el: Column) -> DataFrame:
 
 def pairs(conversations: DataFrame) -> DataFrame:
     """Turn t and turn t + 1 of a conversation as (source, target)."""
-    a = conversations.select("conv_id", "turn", F.col("text").alias("src"))
-    b = conversations.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("dst"))
-    return a.join(b, ["conv_id", "turn"])
+    return sources(conversations).join(targets(conversations), ["conv_id", "turn"])
+
+
+def sources(conversations: DataFrame) -> DataFrame:
+    return conversations.select("conv_id", "turn", F.col("text").alias("src"))
+
+
+def targets(conversations: DataFrame) -> DataFrame:
+    """Turns by the number of the turn before them."""
+    return conversations.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("dst"))
 
 
 def judged(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -212,7 +212,8 @@ def terms_for_batch(spark, sf):
 
 
 def violations(spark, sf):
-    return glossary.violations(talks(spark, sf), terms(spark), "xx")
+    turns = table(spark, sf, "conversations")
+    return glossary.violations_between(lines.sources(turns), lines.targets(turns), ["conv_id", "turn"], terms(spark), "xx")
 
 
 VIOLATED = "(CASE WHEN t.match_case THEN {0} ELSE {1} END) AND CASE WHEN t.rule = 'keep' THEN NOT contains(u.dst, t.source) ELSE t.target IS NOT NULL AND NOT contains(lower(u.dst), lower(t.target)) END".format(S.term("u.src", "t.source"), S.term("lower(u.src)", "lower(t.source)"))

@@ -6,7 +6,7 @@ import duckdb
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tessera.operators import gates, glossary, html, locale_format
+from tessera.operators import gates, glossary, html, lines, locale_format
 from tessera.plans import queries
 
 DATA = "/root/testdata/sf0.001"
@@ -107,3 +107,18 @@ def test_format_text_sends_texts_alone(spark):
     found = plan(queries.QUERIES["format_text"](spark, DATA))
     assert "changes" not in found and "money" not in found
     assert queries.QUERIES["format_text"](spark, DATA).filter("locale = 'de' AND text LIKE 'Total %,__ $ (12,5 % of 1.234)'").count() == queries.table(spark, DATA, "orders").count()
+
+
+def test_violations_between_equal_those_of_pairs(spark):
+    """With keys that repeat and turns without an answer; no source text goes to the join."""
+    turns = [(1, 0, "Acme for all"), (1, 1, "Acme"), (1, 1, "nothing"), (1, 2, "for the acme"), (2, 0, "for"), (3, 0, None), (3, 1, "x")]
+    talks = spark.createDataFrame(turns, "conv_id long, turn long, text string")
+    terms = spark.createDataFrame([("Acme", "keep", None, True, None), ("for", "translate", {"xx": "Nothing"}, False, None), ("all", "translate", None, True, None)], glossary.SCHEMA)
+    split = glossary.violations_between(lines.sources(talks), lines.targets(talks), ["conv_id", "turn"], terms, "xx")
+    whole = glossary.violations(lines.pairs(talks), terms, "xx").select("conv_id", "turn", "source")
+    assert sorted(map(tuple, split.select("conv_id", "turn", "source").collect())) == sorted(map(tuple, whole.collect())) == [(1, 0, "Acme"), (1, 0, "for"), (1, 1, "Acme")]
+
+
+def test_glossary_violations_join_found_terms(spark):
+    found = plan(queries.QUERIES["glossary_violations"](spark, DATA))
+    assert "__word" not in "".join(x for x in found.splitlines() if "Exchange hashpartitioning" in x) and "SortMergeJoin [__word" not in found
