@@ -414,8 +414,9 @@ def numeric_drift(spark, sf):
 
 
 def drifted(spark, sf):
-    """Pairs whose numbers differ."""
-    return talks(spark, sf).filter(T.numerals(F.col("src")) != T.numerals(F.col("dst")))
+    """Pairs (by their numbers) whose numbers differ; texts do not travel."""
+    numbers = table(spark, sf, "conversations").withColumn("text", F.array_join(T.numerals(F.col("text")), ","))
+    return lines.pairs(numbers).filter("src != dst")
 
 
 @query("retry_set", f"WITH {S.PAIRS} SELECT conv_id, turn FROM pairs WHERE coalesce({S.trim('dst')}, '') = '' OR {TAGS}")

@@ -6,8 +6,9 @@ import duckdb
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tessera.functions import text as T
 from tessera.operators import gates, glossary, html, lines, locale_format
-from tessera.plans import queries
+from tessera.plans import queries, relational
 
 DATA = "/root/testdata/sf0.001"
 
@@ -122,3 +123,12 @@ def test_violations_between_equal_those_of_pairs(spark):
 def test_glossary_violations_join_found_terms(spark):
     found = plan(queries.QUERIES["glossary_violations"](spark, DATA))
     assert "__word" not in "".join(x for x in found.splitlines() if "Exchange hashpartitioning" in x) and "SortMergeJoin [__word" not in found
+
+
+def test_gate_summary_moves_no_turns_and_no_joined_units(spark, tmp_path):
+    """Drift joins numbers, not texts; no joined text of units, no join by word."""
+    turns = [(1, 0, "5 apples"), (1, 1, "6 and 5"), (2, 0, "1,000"), (2, 1, "it is 1000"), (3, 0, "none"), (3, 1, "7"), (4, 0, None), (4, 1, "7")]
+    spark.createDataFrame(turns, "conv_id long, turn long, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    assert {tuple(r) for r in relational.drifted(spark, str(tmp_path)).collect()} == {(1, 0, "5", "5,6"), (3, 0, "", "7")}
+    found = plan(queries.QUERIES["gate_summary"](spark, DATA))
+    assert "collect_list" not in found and "SortMergeJoin [__word" not in found
