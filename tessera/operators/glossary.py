@@ -41,6 +41,15 @@ def hits(units: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
     return near.filter(occurs(F.col(text), F.col("source"), F.col("match_case")))
 
 
+def hits_of_units(units: DataFrame, terms: DataFrame) -> DataFrame:
+    """(hash, source) once for each unit and term that occurs in it; units (hash, text) may repeat.
+
+    Terms are found before repeated units are merged, so that texts stay where they are read. As in
+    ``lines.dedup`` a hash stands for one text.
+    """
+    return hits(units.select("hash", "text"), terms).select("hash", "source").distinct()
+
+
 def occurs(text: Column, term: Column, match_case: Column) -> Column:
     """Whole-word occurrence of a term column."""
     t, s = (F.when(match_case, c).otherwise(F.lower(c)) for c in (text, term))
@@ -91,7 +100,7 @@ def changed_terms(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def invalidate(memory: DataFrame, units: DataFrame, changed: DataFrame) -> DataFrame:
-    """The memory without translations of units in which a changed term occurs (any case)."""
+    """The memory without translations of units (hash, text; they may repeat) in which a changed term occurs (any case)."""
     terms = changed.select("source").distinct().withColumn("match_case", F.lit(False))
     stale = hits(units.select("hash", "text"), terms).select("hash").distinct()
     return memory.join(stale, "hash", "left_anti")

@@ -201,13 +201,13 @@ HIT = f"CASE WHEN t.match_case THEN {S.term('u.text', 't.source')} ELSE {S.term(
 
 @query("glossary_hits", f"{WITH}, {DEDUP}, {TERMS_SQL} SELECT u.hash, t.source FROM deduped u, terms t WHERE {HIT}")
 def glossary_hits(spark, sf):
-    return glossary.hits(deduped(spark, sf).select("hash", "text"), terms(spark)).select("hash", "source")
+    return glossary.hits_of_units(units(spark, sf), terms(spark))
 
 
 @query("terms_for_batch", f"{WITH}, {DEDUP}, {TERMS_SQL} SELECT left(u.hash, 1) AS batch, t.source, count(*) AS units FROM deduped u, terms t WHERE (t.rule = 'keep' OR t.target IS NOT NULL) AND {HIT} GROUP BY 1, 2")
 def terms_for_batch(spark, sf):
     usable = terms(spark).filter("rule = 'keep' OR try_element_at(targets, 'xx') IS NOT NULL")
-    hit = glossary.hits(deduped(spark, sf).select("hash", "text"), usable)
+    hit = glossary.hits_of_units(units(spark, sf), usable)
     return hit.groupBy(F.left("hash", F.lit(1)).alias("batch"), "source").agg(F.count(F.lit(1)).alias("units"))
 
 
@@ -244,7 +244,7 @@ def glossary_diff(spark, sf):
 
 @query("tm_invalidate", f"{WITH}, {DEDUP}, {MEMORY} SELECT m.lang, m.hash FROM memory m WHERE m.hash NOT IN (SELECT hash FROM deduped u WHERE {S.term('lower(u.text)', S.lit('for'))} OR {S.term('lower(u.text)', S.lit('an of'))})")
 def tm_invalidate(spark, sf):
-    return glossary.invalidate(memory(spark, sf), deduped(spark, sf), glossary_diff(spark, sf)).select("lang", "hash")
+    return glossary.invalidate(memory(spark, sf), units(spark, sf), glossary_diff(spark, sf)).select("lang", "hash")
 
 
 @query("reply_join", "WITH r AS (SELECT conv_id, max_by(text, turn) AS reply FROM conversations GROUP BY conv_id) SELECT d.doc_id, md5(r.reply) AS reply FROM documents d LEFT JOIN r ON r.conv_id = d.doc_id")

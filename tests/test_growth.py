@@ -30,6 +30,18 @@ def test_terms_for_batch_exchanges_units_once(spark):
     assert "SortMergeJoin" not in found and "hashpartitioning(__word" not in found
 
 
+def test_terms_are_found_before_units_are_merged(spark):
+    """Units and words that repeat give one row; texts go to no exchange or sort."""
+    units = spark.createDataFrame([("h1", "for the Acme, for all")] * 3 + [("h2", "Acme"), ("h3", "none"), ("h4", None)], "hash string, text string")
+    terms = spark.createDataFrame([("Acme", "keep", None, True, None), ("for", "keep", None, False, None)], glossary.SCHEMA)
+    assert sorted(map(tuple, glossary.hits_of_units(units, terms).collect())) == [("h1", "Acme"), ("h1", "for"), ("h2", "Acme")]
+    memory = spark.createDataFrame([("xx", "h1"), ("yy", "h1"), ("xx", "h2")], "lang string, hash string")
+    assert [tuple(r) for r in glossary.invalidate(memory, units, terms.filter("source = 'for'")).collect()] == [("h2", "xx")]
+    for name in ("terms_for_batch", "glossary_hits", "tm_invalidate"):
+        found = plan(queries.QUERIES[name](spark, DATA))
+        assert "min(text" not in found and "SortAggregate" not in found and "first_seen" not in found
+
+
 def test_offered_searches_only_shared_strings(spark, monkeypatch):
     """Odd strings against the joined text, and no joined text where no string can span units."""
     words = ["alpha beta", "lpha bet", "abc", "bcd", "ein längerer gemeinsamer Satz", "Satz 😀 mit Zeichen", "beta  gamma", "zzz zzz", "one  two"]
