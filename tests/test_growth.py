@@ -1,6 +1,7 @@
 """Steps whose cost must not outgrow the input, and their results."""
 
 import re
+import weakref
 
 import duckdb
 import pyarrow as pa
@@ -105,6 +106,38 @@ def test_html_facts_leave_in_slices(monkeypatch):
     assert len(rows) == 52 and rows[0]["tags"] == ["html", "body", "p", "p"] and rows[51]["visible"] == []
 
 
+def test_batches_of_pages_are_let_go_before_the_next(spark):
+    """Also a page whose pieces lie in two batches."""
+    held = []
+
+    def batches():
+        for k in range(3):
+            assert not any(b() is not None for b in held)
+            batch = pa.RecordBatch.from_pydict({"page": [k, k, k + 1], "pos": [1 if k else 0, 2 if k else 1, 0], "html": ["<p>", "<b>x</b>", "<i>"]})
+            held.append(weakref.ref(batch))
+            yield batch
+            del batch
+
+    rows = [r for b in html.facts(Pages())(batches()) for r in b.to_pylist()]
+    assert [(r["page"], r["tags"]) for r in rows] == [(0, ["p", "b"]), (1, ["i", "p", "b"]), (2, ["i", "p", "b"]), (3, ["i"])]
+
+
+def test_pages_travel_in_pieces(spark, monkeypatch):
+    """No row that goes to Python is longer than a piece; the rows that come back are those of whole pages."""
+    sources = ["<p title='Ein Titel'>Grüße 😀😀 an\nalle &amp; mehr</p>" * 30, None, "", "<p>One</p>", "<p>One</p>", "\r\n<b>x</b>\u2028 <i>Text here</i>" * 7]
+    pages = spark.createDataFrame([(i // 2, s) for i, s in enumerate(sources)], "page long, html string").coalesce(1)
+    whole = [(i // 2, html.Builder(s or "").tags) for i, s in enumerate(sources)]
+    longest = max(len(s) for s in sources if s)
+    monkeypatch.setattr(html, "A_PIECE", longest)
+    once = [tuple(r) for r in html.extract(pages).collect()]
+    for piece in (1, 7, 400):
+        monkeypatch.setattr(html, "A_PIECE", piece)
+        assert html._pieces(pages).agg(F.max(F.length("html"))).first()[0] == min(piece, longest)
+        assert [(r["page"], r["tags"]) for r in html.facts(pages).collect()] == whole
+        assert [tuple(r) for r in html.extract(pages).collect()] == once
+    assert "Generate posexplode" in plan(queries.QUERIES["tag_sequence"](spark, DATA))
+
+
 def test_texts_alone_equal_the_full_report(spark):
     """Many rows, nulls, unknown locales, and more digits than the decimal module's default precision."""
     texts = ["Total $1,234.50 (12.5% of 1,234)", None, "", "none", "$" + "9" * 40, "007% 00,5%", "5 JPY and <1>1,500</1>", "US$12 a 1.2.3"]
